@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---- fixed values: PSS-78 coefficients, lowest power first ---------------------
@@ -48,41 +48,51 @@ SPECIFIC_VOLUME = [
 ]
 
 
-def _poly(coefs: list[float], x: Column) -> Column:
-    """Horner form of a polynomial, lowest power first."""
-    return reduce(lambda acc, c: acc * x + F.lit(c), reversed(coefs[:-1]), F.lit(coefs[-1]))
+def _poly(coefs: list[float], x: str) -> str:
+    """Horner form of a polynomial in ``x`` as SQL text, lowest power first."""
+    return reduce(lambda acc, c: f"({acc} * {x} + {c!r}D)", reversed(coefs[:-1]), f"{coefs[-1]!r}D")
 
 
-def practical_salinity(conductivity: Column, temperature: Column, pressure_dbar: Column) -> Column:
-    """Practical salinity from conductivity (S/m), temperature and sea pressure.
+def add_practical_salinity(
+    df: DataFrame, conductivity: str, temperature: str, pressure_dbar: str, name: str = "salinity"
+) -> DataFrame:
+    """Add practical salinity from conductivity (S/m), temperature and sea pressure.
 
-    A negative conductivity ratio or salinity gives NULL.
+    A negative conductivity ratio or salinity gives NULL.  The intermediate
+    quantities are columns of their own, so each is computed once and the
+    expressions stay small.
     """
-    t68 = temperature * ITS90_TO_IPTS68
-    ft = (t68 - 15.0) / (F.lit(1.0) + (t68 - 15.0) * F_K)
-    r = conductivity * 10.0 * R_PER_C
-    rp = F.lit(1.0) + pressure_dbar * _poly(RP_E, pressure_dbar) / (_poly(RP_T, t68) + _poly(RP_R, t68) * r)
-    rt = r / (rp * _poly(RT_C, t68))
-    x = F.sqrt(F.when(rt >= 0, rt))
-    sal = _poly(SAL_A, x) + ft * _poly(SAL_B, x)
-
-    y = x * x * 400.0
-    b = x * 10.0
-    low = sal - F.lit(SAL_A[0]) / _poly([1.0, 1.5, 1.0], y) - ft * SAL_B[0] / _poly([1.0, 1.0, 1.0, 1.0], b)
-    joined = low * (_poly(LOW_SALINITY_JOIN, ft) + 1.0)
-    return F.when(sal >= 2, sal).when(joined >= 0, joined)
-
-
-def pressure_from_depth(depth_m: Column, latitude: Column) -> Column:
+    p = pressure_dbar
+    rp = f"1D + {p} * {_poly(RP_E, p)} / ({_poly(RP_T, '_t68')} + {_poly(RP_R, '_t68')} * _r)"
+    low = (
+        f"_sal - {SAL_A[0]!r}D / {_poly([1.0, 1.5, 1.0], '(400D * _x * _x)')}"
+        f" - {SAL_B[0]!r}D * _ft / {_poly([1.0, 1.0, 1.0, 1.0], '(10D * _x)')}"
+    )
+    steps = [
+        {"_t68": f"{ITS90_TO_IPTS68!r}D * {temperature}", "_r": f"{10.0 * R_PER_C!r}D * {conductivity}"},
+        {"_ft": f"(_t68 - 15D) / (1D + {F_K!r}D * (_t68 - 15D))", "_rt": f"_r / (({rp}) * {_poly(RT_C, '_t68')})"},
+        {"_x": "sqrt(CASE WHEN _rt >= 0D THEN _rt END)"},
+        {"_sal": f"{_poly(SAL_A, '_x')} + _ft * {_poly(SAL_B, '_x')}"},
+        {"_sal": f"CASE WHEN _sal >= 2D THEN _sal ELSE ({low}) * (1D + {_poly(LOW_SALINITY_JOIN, '_ft')}) END"},
+        {name: "CASE WHEN _sal >= 0D THEN _sal END"},
+    ]
+    for step in steps:
+        df = df.withColumns({c: F.expr(e) for c, e in step.items()})
+    return df.drop("_t68", "_r", "_ft", "_rt", "_x", "_sal")
+
+
+def pressure_from_depth(depth_m: str, latitude: str) -> Column:
     """Sea pressure (dbar) at ``depth_m`` metres below the surface.
 
     The hydrostatic balance is solved by one Newton step from the constant-volume
     solution: exact to 1e-8 dbar down to 100 m.
     """
-    sin2 = F.pow(F.sin(F.radians(latitude)), 2)
-    gravity = _poly(GRAVITY, sin2) * GRAVITY_EQUATOR
-    head = gravity * (depth_m + depth_m * depth_m * (0.5 * GRAVITY_DEPTH))
-    start = head / (1e4 * SPECIFIC_VOLUME[0])
-    z = start * 1e-4
-    enthalpy = z * _poly([c / (i + 1) for i, c in enumerate(SPECIFIC_VOLUME)], z) * 1e8
-    return start - (enthalpy - head) / (_poly(SPECIFIC_VOLUME, z) * 1e4)
+    sin2 = f"pow(sin(radians({latitude})), 2D)"
+    head = (
+        f"({GRAVITY_EQUATOR!r}D * {_poly(GRAVITY, sin2)}"
+        f" * ({depth_m} + {0.5 * GRAVITY_DEPTH!r}D * {depth_m} * {depth_m}))"
+    )
+    start = f"({head} / {1e4 * SPECIFIC_VOLUME[0]!r}D)"
+    z = f"({start} * 1e-4D)"
+    enthalpy = f"1e8D * {z} * {_poly([c / (i + 1) for i, c in enumerate(SPECIFIC_VOLUME)], z)}"
+    return F.expr(f"{start} - ({enthalpy} - {head}) / (1e4D * {_poly(SPECIFIC_VOLUME, z)})")

@@ -28,41 +28,44 @@ TAGS_BEFORE_DEPTH = [
 CONSTANT_TAGS = [("fm64iii", "830"), ("fm64xx", "99"), ("fm64k1", "7"), ("fm64k2", "1")]
 TAGS_AFTER_DEPTH = [("wtmp1", "sst"), ("sp001", "salinity")]
 
-#: Largest factor-of-two splitter for an exact product of two doubles (2^27 + 1).
-_SPLIT = 134217729.0
+#: Splits a double into two halves whose products with 2e6 are exact (2^27 + 1).
+_SPLIT = "134217729D"
 
 
-def _ties_to_true_side(x: Column) -> Column:
+def _off_tie(x: str) -> str:
     """``x``, moved off a rounding tie at six decimals when it must round down.
 
     ``format_string`` rounds the shortest decimal text of a double half up.  The
     bulletin rounds the exact binary value, half to even.  The two differ only
     where that text ends on a 5 in the seventh place; there the sign of the exact
-    distance to the tie decides.
+    distance to the tie, ``|x| * 2e6`` less an odd number, decides.
     """
-    size = F.abs(x)
-    whole = F.floor(size).cast("double")
-    part = size - whole
-    halves = F.rint(part * 2e6)
-    tie = (F.pmod(halves, F.lit(2.0)) == 1.0) & ((whole * 2e6 + halves) / 2e6 == size)
-    # exact error of the product part * 2e6
-    product = part * 2e6
-    high = part * _SPLIT - (part * _SPLIT - part)
-    error = (high * 2e6 - product) + (part - high) * 2e6
-    distance = (product - halves) + error
-    lower_is_even = F.pmod((whole * 2e6 + halves - 1.0) / 2.0, F.lit(2.0)) == 0.0
-    down = tie & ((distance < 0) | ((distance == 0) & lower_is_even))
-    return F.when(down, x - F.signum(x) * 2e-7).otherwise(x)
-
-
-def format_value(x: Column) -> Column:
+    size = f"abs({x})"
+    halves = f"rint({size} * 2e6D)"
+    high = f"({_SPLIT} * {size} - ({_SPLIT} * {size} - {size}))"
+    product = f"({size} * 2e6D)"
+    distance = f"(({product} - {halves}) + (({high} * 2e6D - {product}) + ({size} - {high}) * 2e6D))"
+    down = f"{distance} < 0D OR ({distance} = 0D AND pmod(({halves} - 1D) / 2D, 2D) = 0D)"
+    return (
+        f"CASE WHEN pmod({halves}, 2D) = 1D AND {halves} / 2e6D = {size}"
+        f" THEN CASE WHEN {down} THEN {x} - signum({x}) * 2e-7D ELSE {x} END ELSE {x} END"
+    )
+
+
+def _value_sql(x: str) -> str:
+    return (
+        f"CASE WHEN {x} IS NULL OR isnan({x}) OR abs({x}) = double('inf') THEN '{MISSING}'"
+        f" ELSE format_string('%.6f', {_off_tie(x)}) END"
+    )
+
+
+def format_value(column: str) -> Column:
     """Six decimals; NULL, NaN and infinities become the missing marker."""
-    finite = x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
-    return F.when(finite, F.format_string("%.6f", _ties_to_true_side(x))).otherwise(F.lit(MISSING))
+    return F.expr(_value_sql(column))
 
 
-def tag(name: str, x: Column) -> Column:
-    return F.concat(F.lit(f"<{name}>"), format_value(x), F.lit(f"</{name}>"))
+def tag(name: str, column: str) -> Column:
+    return F.concat(F.lit(f"<{name}>"), format_value(column), F.lit(f"</{name}>"))
 
 
 def _iso(ts: Column) -> Column:
@@ -93,10 +96,10 @@ def message(station_id: Column, time: Column, depth_m: Column) -> Column:
         F.lit(f"<missing>{MISSING}</missing>"),
         F.lit("<roundtime>no</roundtime>"),
         F.lit("<met>"),
-        *[tag(name, F.col(c)) for name, c in TAGS_BEFORE_DEPTH],
+        *[tag(name, c) for name, c in TAGS_BEFORE_DEPTH],
         *[F.lit(f"<{name}>{text}</{name}>") for name, text in CONSTANT_TAGS],
         fixed("dp001", depth_m.cast("string")),
-        *[tag(name, F.col(c)) for name, c in TAGS_AFTER_DEPTH],
+        *[tag(name, c) for name, c in TAGS_AFTER_DEPTH],
         F.lit("</met>"),
         F.lit("</message>"),
     )

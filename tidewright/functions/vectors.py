@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,18 +21,15 @@ def wind_speed(u: Column, v: Column) -> Column:
     return F.sqrt(u * u + v * v)
 
 
-def direction_from(u: Column, v: Column) -> Column:
-    """Direction a flow comes from, in degrees clockwise from north, 0 to 360.
+def add_direction_from(df: DataFrame, u: str, v: str, name: str) -> DataFrame:
+    """Add the direction a flow comes from, in degrees clockwise from north, 0 to 360.
 
     Calm (both components zero) reads 180.  Spark's ``atan2`` drops the sign of
     zero, so that case is written out.
     """
-    deg = F.degrees(F.atan2(-u, -v))
-    return (
-        F.when((u == 0) & (v == 0), F.lit(180.0))
-        .when(deg < 0, deg + 360.0)
-        .otherwise(deg)
-    )
+    calm = (F.col(u) == 0) & (F.col(v) == 0)
+    deg = F.when(calm, F.lit(180.0)).otherwise(F.degrees(F.atan2(-F.col(u), -F.col(v))))
+    return df.withColumn(name, deg).withColumn(name, F.col(name) + F.when(F.col(name) < 0, 360.0).otherwise(0.0))
 
 
 def wave_unit_vector(mean_dir: Column) -> tuple[Column, Column]:

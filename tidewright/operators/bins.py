@@ -14,9 +14,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.functions.seawater import practical_salinity
-from tidewright.functions.timegrid import floor_to_bin, minutes
-from tidewright.functions.vectors import direction_from, rotate_by, wave_unit_vector, wind_speed
+from tidewright.functions.seawater import add_practical_salinity
+from tidewright.functions.timegrid import floor_to_bin
+from tidewright.functions.vectors import add_direction_from, rotate_by, wave_unit_vector, wind_speed
 from tidewright.model import BINNED_FIELDS, KEYS, MET_SHIFT_MINUTES, WAVE_SHIFT_MINUTES
 from tidewright.operators.bounds import bin_spine
 from tidewright.operators.rain import rain_by_cell
@@ -33,17 +33,24 @@ def place(samples: DataFrame, bounds: DataFrame, shift_minutes: int) -> DataFram
     """Attach the run's constants and the bin's ``cell`` to each sample.
 
     ``cell`` is the bin's left edge less ``phase``, which lies on the clock's
-    grid.  ``bounds`` should be a stored table, so that its size decides how it is
+    grid; ``inside`` tells whether the bin belongs to the run's window.
+    ``bounds`` should be a stored table, so that its size decides how it is
     joined.
     """
-    offset = minutes(shift_minutes) - F.col("phase")
-    return samples.join(bounds, KEYS).withColumn("cell", floor_to_bin(F.col("time") + offset))
-
-
-def in_window(placed: DataFrame) -> DataFrame:
-    """Keep samples whose bin lies in the run's window."""
-    return placed.filter(
-        (F.col("cell") >= F.col("bin_start") - F.col("phase")) & (F.col("cell") < F.col("grid_end") - F.col("phase"))
+    shift = F.expr(f"INTERVAL {shift_minutes} MINUTES")
+    run = bounds.withColumns(
+        {
+            "from_time": F.col("bin_start") - shift,
+            "to_time": F.col("grid_end") - shift,
+            "offset": shift - F.col("phase"),
+        }
+    )
+    inside = (F.col("time") >= F.col("from_time")) & (F.col("time") < F.col("to_time"))
+    return (
+        samples.join(run, KEYS)
+        .withColumn("inside", inside)
+        .withColumn("shifted", F.col("time") + F.col("offset"))
+        .withColumn("cell", floor_to_bin(F.col("shifted")))
     )
 
 
@@ -52,8 +59,11 @@ def met_variables(placed: DataFrame) -> DataFrame:
     u, v = rotate_by(
         F.col("eastward_wind_velocity"), F.col("northward_wind_velocity"), F.col("cos_a"), F.col("sin_a")
     )
-    rotated = placed.withColumn("wind_u", u).withColumn("wind_v", v)
-    return rotated.select(
+    rotated = placed.withColumns({"wind_u": u, "wind_v": v})
+    salted = add_practical_salinity(
+        rotated, "sea_surface_conductivity", "sea_surface_temperature", "pressure_dbar"
+    )
+    return salted.select(
         *GROUP,
         wind_speed(F.col("wind_u"), F.col("wind_v")).alias("wind_speed"),
         "wind_u",
@@ -64,9 +74,7 @@ def met_variables(placed: DataFrame) -> DataFrame:
         F.col("shortwave_irradiance").alias("shortwave"),
         F.col("longwave_irradiance").alias("longwave"),
         F.col("sea_surface_temperature").alias("sst"),
-        practical_salinity(
-            F.col("sea_surface_conductivity"), F.col("sea_surface_temperature"), F.col("pressure_dbar")
-        ).alias("salinity"),
+        "salinity",
     )
 
 
@@ -86,8 +94,7 @@ def wave_variables(placed: DataFrame) -> DataFrame:
 
 def _mean(c: str) -> Column:
     """Mean without NULL; NaN (opposite infinities) counts as missing."""
-    m = F.avg(c)
-    return F.when(~F.isnan(m), m).alias(c)
+    return F.nanvl(F.avg(c), F.lit(None)).alias(c)
 
 
 def bin_means(parts: list[DataFrame], values: list[str]) -> DataFrame:
@@ -97,31 +104,22 @@ def bin_means(parts: list[DataFrame], values: list[str]) -> DataFrame:
     return binned.select(*KEYS, (F.col("cell") + F.col("phase")).alias("time"), *values)
 
 
-def spine_rows(bounds: DataFrame) -> DataFrame:
-    """The window's bins as rows without values."""
-    return bin_spine(bounds).join(bounds.select(*KEYS, "phase"), KEYS).select(
-        *KEYS, "phase", (F.col("time") - F.col("phase")).alias("cell")
-    )
-
-
 def bin_observations(met: DataFrame, wave: DataFrame, bounds: DataFrame) -> DataFrame:
     """Bin both instruments over each deployment's run window.
 
-    Samples must be unique per ``(site, deployment, time)``; wave times must still
-    be raw (the shift is applied here).  ``bounds`` comes from
+    Samples must be unique per ``(site, deployment, time)`` and carry raw times
+    (the instruments' shifts are applied here).  ``bounds`` comes from
     ``with_run_constants``.  Every bin of the window is present, empty ones NULL.
     """
     met_placed = place(met, bounds, MET_SHIFT_MINUTES)
-    rain = in_window(
-        rain_by_cell(met_placed).join(bounds.select(*KEYS, "bin_start", "grid_end"), KEYS)
-    ).select(*GROUP, "rain_rate")
     wave_placed = place(wave, bounds, WAVE_SHIFT_MINUTES)
+    spine = bin_spine(bounds).withColumn("cell", F.col("time") - F.col("phase")).select(*GROUP)
     binned = bin_means(
         [
-            met_variables(in_window(met_placed)),
-            wave_variables(in_window(wave_placed)),
-            rain,
-            spine_rows(bounds),
+            met_variables(met_placed.filter("inside")),
+            wave_variables(wave_placed.filter("inside")),
+            rain_by_cell(met_placed).filter("inside").drop("inside"),
+            spine,
         ],
         [*MET_MEANS, *WAVE_MEANS, "rain_rate"],
     )
@@ -130,8 +128,5 @@ def bin_observations(met: DataFrame, wave: DataFrame, bounds: DataFrame) -> Data
 
 def recover_directions(binned: DataFrame) -> DataFrame:
     """Directions from the averaged vectors; the vector means are dropped."""
-    return (
-        binned.withColumn("wind_dir", direction_from(F.col("wind_u"), F.col("wind_v")))
-        .withColumn("wave_dir", direction_from(F.col("wave_u"), F.col("wave_v")))
-        .drop("wind_u", "wind_v", "wave_u", "wave_v")
-    )
+    wind = add_direction_from(binned, "wind_u", "wind_v", "wind_dir")
+    return add_direction_from(wind, "wave_u", "wave_v", "wave_dir").drop("wind_u", "wind_v", "wave_u", "wave_v")

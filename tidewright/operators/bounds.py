@@ -87,7 +87,7 @@ def with_run_constants(
         with_declination(bounds.join(stations, "site"), declinations, date)
         .withColumn("cos_a", F.cos(alpha))
         .withColumn("sin_a", F.sin(alpha))
-        .withColumn("pressure_dbar", pressure_from_depth(F.col("sensor_depth_m"), F.col("latitude")))
+        .withColumn("pressure_dbar", pressure_from_depth("sensor_depth_m", "latitude"))
     )
 
 
@@ -95,5 +95,5 @@ def bin_spine(bounds: DataFrame) -> DataFrame:
     """One row per bin of every run: left edges from ``bin_start`` to ``grid_end``."""
     ten = F.expr(f"INTERVAL {BIN}")
     return bounds.select(
-        *KEYS, F.explode(F.sequence("bin_start", F.col("grid_end") - ten, ten)).alias("time")
+        *KEYS, "phase", F.explode(F.sequence("bin_start", F.col("grid_end") - ten, ten)).alias("time")
     )

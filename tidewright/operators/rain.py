@@ -51,16 +51,17 @@ def rain_rate(samples: DataFrame, level: str = "precipitation_level") -> DataFra
 
 
 def rain_by_cell(placed: DataFrame, level: str = "precipitation_level") -> DataFrame:
-    """Mean valid increment per cell of rows that already carry ``phase`` and ``cell``.
+    """Mean valid increment per cell of rows that carry ``phase``, ``cell`` and ``inside``.
 
     The cell's inner differences are reduced first; the difference across the
     cell's left edge is added on the reduced rows.
     """
     cell = [*KEYS, "phase", "cell"]
-    inner = placed.select(*cell, "time", level).withColumn(
+    inner = placed.select(*cell, "inside", "time", level).withColumn(
         "inc", valid_increment(F.col(level), F.lag(level).over(Window.partitionBy(*cell).orderBy("time")))
     )
     per_cell = inner.groupBy(*cell).agg(
+        F.bool_and("inside").alias("inside"),
         F.sum("inc").alias("total"),
         F.count("inc").alias("n"),
         F.min_by(level, "time").alias("first_level"),
@@ -70,4 +71,4 @@ def rain_by_cell(placed: DataFrame, level: str = "precipitation_level") -> DataF
     edge = per_cell.withColumn("edge", valid_increment(F.col("first_level"), F.lag("last_level").over(series)))
     total = F.coalesce("total", F.lit(0.0)) + F.coalesce("edge", F.lit(0.0))
     n = F.col("n") + F.col("edge").isNotNull().cast("int")
-    return edge.select(*cell, F.when(n > 0, total / n).alias("rain_rate"))
+    return edge.select(*cell, "inside", F.when(n > 0, total / n).alias("rain_rate"))
