@@ -54,8 +54,8 @@ def place(samples: DataFrame, bounds: DataFrame, shift_minutes: int) -> DataFram
     )
 
 
-def met_variables(placed: DataFrame) -> DataFrame:
-    """Derived variables of each meteorological sample."""
+def met_variables(placed: DataFrame, keep: list[str] = GROUP) -> DataFrame:
+    """Derived variables of each meteorological sample, next to the ``keep`` columns."""
     u, v = rotate_by(
         F.col("eastward_wind_velocity"), F.col("northward_wind_velocity"), F.col("cos_a"), F.col("sin_a")
     )
@@ -64,7 +64,7 @@ def met_variables(placed: DataFrame) -> DataFrame:
         rotated, "sea_surface_conductivity", "sea_surface_temperature", "pressure_dbar"
     )
     return salted.select(
-        *GROUP,
+        *keep,
         wind_speed(F.col("wind_u"), F.col("wind_v")).alias("wind_speed"),
         "wind_u",
         "wind_v",
@@ -78,11 +78,11 @@ def met_variables(placed: DataFrame) -> DataFrame:
     )
 
 
-def wave_variables(placed: DataFrame) -> DataFrame:
-    """Derived variables of each wave sample."""
+def wave_variables(placed: DataFrame, keep: list[str] = GROUP) -> DataFrame:
+    """Derived variables of each wave sample, next to the ``keep`` columns."""
     u, v = rotate_by(*wave_unit_vector(F.col("mean_wave_direction")), F.col("cos_a"), F.col("sin_a"))
     return placed.select(
-        *GROUP,
+        *keep,
         F.col("significant_wave_height").alias("sig_wave_hgt"),
         F.col("maximum_wave_height").alias("max_wave_hgt"),
         "peak_period",
@@ -92,7 +92,7 @@ def wave_variables(placed: DataFrame) -> DataFrame:
     )
 
 
-def _mean(c: str) -> Column:
+def mean_of(c: str) -> Column:
     """Mean without NULL; NaN (opposite infinities) counts as missing."""
     return F.nanvl(F.avg(c), F.lit(None)).alias(c)
 
@@ -100,7 +100,7 @@ def _mean(c: str) -> Column:
 def bin_means(parts: list[DataFrame], values: list[str]) -> DataFrame:
     """Union of rows keyed by ``GROUP``, averaged per bin; ``time`` is the left edge."""
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    binned = rows.groupBy(*GROUP).agg(*[_mean(c) for c in values])
+    binned = rows.groupBy(*GROUP).agg(*[mean_of(c) for c in values])
     return binned.select(*KEYS, (F.col("cell") + F.col("phase")).alias("time"), *values)
 
 

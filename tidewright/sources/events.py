@@ -17,48 +17,72 @@ MET_TYPES = ["view", "click", "error"]
 WAVE_TYPES = ["purchase", "signup"]
 
 
-def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+EVENT_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
+
+
+def keyed(events: DataFrame) -> DataFrame:
+    """Events with their station, deployment and time."""
     sites = F.array(*[F.lit(s[0]) for s in STATIONS])
-    return (
-        spark.read.parquet(f"{sf_dir}/events.parquet")
-        .withColumn("site", F.element_at(sites, (F.pmod(F.col("user_id"), F.lit(4)) + 1).cast("int")))
-        .withColumn("deployment", F.lit(DEPLOYMENT))
-        .withColumn("time", F.col("ts"))
-        .withColumn("k", F.get_json_object("props", "$.k").cast("double"))
+    return events.withColumns(
+        {
+            "site": F.element_at(sites, (F.pmod(F.col("user_id"), F.lit(4)) + 1).cast("int")),
+            "deployment": F.lit(DEPLOYMENT),
+            "time": F.col("ts"),
+            "k": F.get_json_object("props", "$.k").cast("double"),
+        }
     )
 
 
-def raw_met(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Meteorological samples in arrival order (``event_id``), copies included."""
-    e = F.col("event_id")
-    df = read_events(spark, sf_dir).filter(F.col("event_type").isin(MET_TYPES))
+def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed(spark.read.schema(EVENT_SCHEMA).parquet(f"{sf_dir}/events.parquet"))
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet")
+    return keyed(files.parquet(sf_dir))
+
+
+def as_met(events: DataFrame) -> DataFrame:
+    """Meteorological samples of keyed events."""
     values = {
-        "air_temperature": -15.0 + e % 50,
-        "barometric_pressure": 850.0 + e % 211,
-        "eastward_wind_velocity": (e % 41 - 20) * 0.5,
-        "northward_wind_velocity": (e % 29 - 14) * 0.5,
-        "longwave_irradiance": 250.0 + F.col("k") * 2.0,
-        "relative_humidity": F.when(e % 23 != 0, F.col("k") * 1.25),
-        "sea_surface_conductivity": 2.5 + (e % 17) * 0.1,
-        "sea_surface_temperature": (e % 28).cast("double"),
-        "shortwave_irradiance": F.col("value") * 5.0,
-        "precipitation_level": (e % 100) * 0.25,
+        "air_temperature": "-15D + event_id % 50",
+        "barometric_pressure": "850D + event_id % 211",
+        "eastward_wind_velocity": "(event_id % 41 - 20) * 0.5D",
+        "northward_wind_velocity": "(event_id % 29 - 14) * 0.5D",
+        "longwave_irradiance": "250D + 2D * k",
+        "relative_humidity": "CASE WHEN event_id % 23 <> 0 THEN k * 1.25D END",
+        "sea_surface_conductivity": "2.5D + (event_id % 17) * 0.1D",
+        "sea_surface_temperature": "CAST(event_id % 28 AS DOUBLE)",
+        "shortwave_irradiance": "value * 5D",
+        "precipitation_level": "(event_id % 100) * 0.25D",
     }
-    return df.select(*KEYS, "time", "event_id", *[values[f].alias(f) for f in MET_FIELDS[1:]])
+    chosen = events.filter(F.col("event_type").isin(MET_TYPES))
+    return chosen.selectExpr(*KEYS, "time", "event_id", *[f"{values[f]} AS {f}" for f in MET_FIELDS[1:]])
 
 
-def raw_wave(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wave samples in arrival order (``event_id``), copies included."""
-    e = F.col("event_id")
-    df = read_events(spark, sf_dir).filter(F.col("event_type").isin(WAVE_TYPES))
+def as_wave(events: DataFrame) -> DataFrame:
+    """Wave samples of keyed events."""
     values = {
-        "peak_period": 4.0 + F.col("k") / 4.0,
-        "average_wave_period": 3.0 + F.col("k") / 6.0,
-        "significant_wave_height": F.col("value") / 15.0,
-        "maximum_wave_height": F.col("value") / 10.0,
-        "mean_wave_direction": ((e * 13) % 360).cast("double"),
+        "peak_period": "4D + k / 4D",
+        "average_wave_period": "3D + k / 6D",
+        "significant_wave_height": "value / 15D",
+        "maximum_wave_height": "value / 10D",
+        "mean_wave_direction": "CAST((event_id * 13) % 360 AS DOUBLE)",
     }
-    return df.select(*KEYS, "time", "event_id", *[values[f].alias(f) for f in WAVE_FIELDS[1:]])
+    chosen = events.filter(F.col("event_type").isin(WAVE_TYPES))
+    return chosen.selectExpr(*KEYS, "time", "event_id", *[f"{values[f]} AS {f}" for f in WAVE_FIELDS[1:]])
+
+
+def raw_met(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Meteorological samples in arrival order (``event_id``), copies included."""
+    return as_met(read_events(spark, sf_dir))
+
+
+def raw_wave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wave samples in arrival order (``event_id``), copies included."""
+    return as_wave(read_events(spark, sf_dir))
 
 
 def met_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
