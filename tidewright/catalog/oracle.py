@@ -337,4 +337,11 @@ ORACLE: dict[str, str] = {
         FROM (SELECT *, {_message()} AS message FROM named) GROUP BY site, station_id, file_name""",
         True, [BIN_CTES, NAMED_CTE]
     ),
+    "stream_bins": _run(
+        f"SELECT site, time, {_round(_STREAM_VALUES)} FROM closed", False,
+        [BIN_CTES.replace(" WHERE bin >= bin_start AND bin < grid_end", ""),
+         """closed AS (SELECT * FROM joined WHERE time + INTERVAL 10 MINUTE <= (
+              SELECT greatest((SELECT max(time) + INTERVAL 5 MINUTE FROM met), (SELECT max(time) - INTERVAL 10 MINUTE FROM wave))
+            ) - INTERVAL 1 HOUR)"""]
+    ),
 }

@@ -33,3 +33,14 @@ def floor_to_bin(ts: Column) -> Column:
 def interval_seconds(interval: Column) -> Column:
     """Length of a day-time interval in seconds, as a double."""
     return interval.cast("interval second").cast("decimal(18,6)").cast("double")
+
+
+def ntz_to_instant(ts: Column) -> Column:
+    """UTC ``TIMESTAMP_NTZ`` to the instant it names, whatever the session time zone."""
+    seconds = (ts - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).cast("interval second")
+    return F.timestamp_micros((seconds.cast("decimal(18,6)") * 1_000_000).cast("bigint"))
+
+
+def instant_to_ntz(instant: Column) -> Column:
+    """An instant as UTC ``TIMESTAMP_NTZ``."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewright.functions.timegrid import instant_to_ntz
 from tidewright.model import KEYS, PROGRESS_SCHEMA, local_table
 from tidewright.sources.array_json import PATH_KEYS
 
@@ -82,12 +83,11 @@ def progress_from_state_files(spark: SparkSession, paths: str | list[str]) -> Da
     )
     has_offset = F.col("last_bin_end").rlike(r"(Z|[+-]\d{2}:?\d{2})$")
     instant = F.try_to_timestamp(F.when(has_offset, F.col("last_bin_end")).otherwise(F.concat("last_bin_end", F.lit("Z"))))
-    utc = F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit("1970-01-01").cast("timestamp_ntz"))
     folder = PATH_KEYS.replace("/[^/]+$", "/")
     return raw.select(
         F.col("station").alias("site"),
         F.regexp_extract("file_path", folder, 2).alias("deployment"),
-        utc.alias("last_bin_end"),
+        instant_to_ntz(instant).alias("last_bin_end"),
         F.lit(0).cast("bigint").alias("run_id"),
         F.lit(False).alias("cleared"),
     ).filter("last_bin_end IS NOT NULL AND site IS NOT NULL")

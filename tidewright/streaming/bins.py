@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.functions.timegrid import instant_to_ntz, ntz_to_instant
 from tidewright.model import BIN, BINNED_FIELDS, KEYS, MET_SHIFT_MINUTES, WAVE_SHIFT_MINUTES
 from tidewright.operators.bins import (
     MET_MEANS, WAVE_MEANS, mean_of, met_variables, recover_directions, wave_variables,
@@ -29,8 +30,8 @@ def stream_bins(met: DataFrame, wave: DataFrame, constants: DataFrame) -> DataFr
     keep = [*KEYS, "shifted"]
 
     def shifted(samples: DataFrame, shift: int) -> DataFrame:
-        moved = samples.join(fixed, KEYS).withColumn("shifted", F.col("time") + F.expr(f"INTERVAL {shift} MINUTES"))
-        return moved
+        moved = F.col("time") + F.expr(f"INTERVAL {shift} MINUTES")
+        return samples.join(fixed, KEYS).withColumn("shifted", ntz_to_instant(moved))
 
     rows = met_variables(shifted(met, MET_SHIFT_MINUTES), keep).unionByName(
         wave_variables(shifted(wave, WAVE_SHIFT_MINUTES), keep), allowMissingColumns=True
@@ -40,7 +41,7 @@ def stream_bins(met: DataFrame, wave: DataFrame, constants: DataFrame) -> DataFr
         rows.withWatermark("shifted", DELAY)
         .groupBy(*KEYS, F.window("shifted", BIN).alias("bin"))
         .agg(*[mean_of(c) for c in values])
-        .select(*KEYS, F.col("bin.start").alias("time"), *values)
+        .select(*KEYS, instant_to_ntz(F.col("bin.start")).alias("time"), *values)
     )
     fields = [f for f in BINNED_FIELDS if f != "rain_rate"]
     return recover_directions(binned).select(*KEYS, "time", *fields)
