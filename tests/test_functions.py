@@ -1,0 +1,177 @@
+import math
+import random
+from datetime import datetime
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidewright.functions import seawater as sw
+from tidewright.functions import text
+from tidewright.functions.declination import declination_angle
+from tidewright.functions.seawater import add_practical_salinity, pressure_from_depth
+from tidewright.functions.timegrid import epoch_to_ts, instant_to_ntz, ntz_to_instant
+from tidewright.functions.vectors import add_direction_from, rotate_wave_dir, rotate_wind, wind_speed
+from tidewright.model import DECLINATION_SCHEMA, local_table
+from tidewright.operators.bounds import with_declination
+
+
+def pairs(spark, rows, schema="u double, v double"):
+    return spark.createDataFrame(rows, schema)
+
+
+def test_rotation_by_zero_and_ninety(spark):
+    df = pairs(spark, [(1.0, 0.0), (0.0, 1.0)])
+    same = rotate_wind(F.col("u"), F.col("v"), F.lit(0.0))
+    assert [tuple(r) for r in df.select(*same).collect()] == [(1.0, 0.0), (0.0, 1.0)]
+    u, v = df.limit(1).select(*rotate_wind(F.col("u"), F.col("v"), F.lit(90.0))).first()
+    assert (u, v) == pytest.approx((0.0, -1.0), abs=1e-12)
+
+
+def test_rotation_keeps_speed_and_adds_to_direction(spark):
+    rng = np.random.default_rng(3)
+    df = pairs(spark, rng.standard_normal((200, 2)).tolist()).withColumn("alpha", F.lit(37.5))
+    u, v = rotate_wind(F.col("u"), F.col("v"), F.col("alpha"))
+    df = df.withColumns({"ru": u, "rv": v, "s": wind_speed(F.col("u"), F.col("v"))})
+    df = df.withColumn("rs", wind_speed(F.col("ru"), F.col("rv")))
+    df = add_direction_from(add_direction_from(df, "u", "v", "d"), "ru", "rv", "rd")
+    for r in df.collect():
+        assert r.rs == pytest.approx(r.s, abs=1e-12)
+        turn = (r.rd - r.d - 37.5) % 360
+        assert min(turn, 360 - turn) < 1e-9
+        assert 0 <= r.d <= 360
+
+
+@pytest.mark.parametrize(
+    "u,v,expected", [(0.0, 5.0, 180.0), (5.0, 0.0, 270.0), (0.0, 0.0, 180.0), (-5.0, 0.0, 90.0), (0.0, -5.0, 0.0)]
+)
+def test_direction(spark, u, v, expected):
+    assert add_direction_from(pairs(spark, [(u, v)]), "u", "v", "d").first().d == pytest.approx(expected)
+
+
+def test_speed(spark):
+    assert pairs(spark, [(3.0, 4.0)]).select(wind_speed(F.col("u"), F.col("v"))).first()[0] == 5.0
+
+
+def test_wave_vectors_are_unit_and_turn(spark):
+    df = spark.range(0, 360).select(F.col("id").cast("double").alias("dir"))
+    u, v = rotate_wave_dir(F.col("dir"), F.lit(14.6))
+    out = add_direction_from(df.withColumns({"u": u, "v": v}), "u", "v", "d")
+    for r in out.collect():
+        assert math.hypot(r.u, r.v) == pytest.approx(1.0, abs=1e-12)
+        turn = (r.d - r.dir - 14.6) % 360
+        assert min(turn, 360 - turn) < 1e-9
+
+
+def salinities(spark, rows):
+    df = spark.createDataFrame(rows, "c double, t double, p double")
+    return [r.salinity for r in add_practical_salinity(df, "c", "t", "p").collect()]
+
+
+def test_salinity_published_values(spark):
+    """UNESCO 44 check values, given as conductivity ratio and IPTS-68 temperature."""
+    c35 = 1 / sw.R_PER_C / 10
+    rows = [(1.2 * c35, 20 / 1.00024, 2000.0), (0.65 * c35, 5 / 1.00024, 1500.0), (c35, 15 / 1.00024, 0.0)]
+    assert salinities(spark, rows) == pytest.approx([37.245628, 27.995347, 35.0], abs=2e-6)
+    assert salinities(spark, [(3.5, 12.0, 1.15)])[0] == pytest.approx(30.167116, abs=2e-6)
+
+
+def test_salinity_is_continuous_at_two_and_null_below_zero(spark):
+    steps = [(0.2 + i * 1e-5, 12.0, 0.0) for i in range(20000)]
+    values = salinities(spark, steps)
+    jumps = [b - a for a, b in zip(values, values[1:])]
+    assert max(jumps) < 2e-4 and min(jumps) > 0
+    assert min(values) < 2 < max(values)
+    assert salinities(spark, [(-0.1, 12.0, 0.0), (None, 12.0, 0.0)]) == [None, None]
+    assert salinities(spark, [(0.0, 12.0, 0.0)])[0] == pytest.approx(0.0, abs=1e-9)
+
+
+def test_low_salinity_factor_solves_the_join():
+    """Brute force: bisect the ratio at which the main formula gives 2."""
+    for t in (-2.0, 5.0, 12.0, 25.0, 40.0):
+        ft = (t * 1.00024 - 15) / (1 + sw.F_K * (t * 1.00024 - 15))
+
+        def main(x):
+            return sum((a + ft * b) * x**i for i, (a, b) in enumerate(zip(sw.SAL_A, sw.SAL_B)))
+
+        lo, hi = 0.2, 0.35
+        for _ in range(200):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if main(mid) < 2 else (lo, mid)
+        y, b = 400 * lo * lo, 10 * lo
+        low = 2 - sw.SAL_A[0] / (1 + 1.5 * y + y * y) - sw.SAL_B[0] * ft / (1 + b + b * b + b**3)
+        fitted = 1 + sum(c * ft**i for i, c in enumerate(sw.LOW_SALINITY_JOIN))
+        assert fitted == pytest.approx(2 / low, abs=1e-11)
+
+
+def test_pressure_solves_the_hydrostatic_balance(spark):
+    """Brute force: integrate the specific volume numerically."""
+    df = spark.createDataFrame([(1.15, 44.639), (7.0, 46.986), (100.0, 46.851)], "d double, lat double")
+    for depth, lat, p in df.select("d", "lat", pressure_from_depth("d", "lat")).collect():
+        s = math.sin(math.radians(lat)) ** 2
+        g = 9.780327 * (1 + (5.2792e-3 + 2.32e-5 * s) * s)
+        grid = np.linspace(0, p, 20001)
+        volume = sum(c * (grid * 1e-4) ** i for i, c in enumerate(sw.SPECIFIC_VOLUME))
+        assert np.trapezoid(volume, grid) * 1e4 == pytest.approx(g * (depth + 0.5 * 2.26e-7 * depth**2), rel=1e-10)
+
+
+def test_declination_angle(spark):
+    df = pairs(spark, [(1.0, 1.0), (0.0, 5.0), (-1.0, 1.0)])
+    got = [r[0] for r in df.select(declination_angle(F.col("u"), F.col("v"))).collect()]
+    assert got == pytest.approx([45.0, 0.0, -45.0])
+
+
+def test_declination_lookup_is_linear_and_picks_the_reference(spark):
+    dim = local_table(
+        spark,
+        [("CE02", "2026-01-01 00:00:00", 14.602, -0.1), ("CE02", "2020-01-01 00:00:00", 15.2, -0.1)],
+        DECLINATION_SCHEMA,
+    )
+    rows = spark.createDataFrame(
+        [("CE02", datetime(2027, 1, 1, 6)), ("CE02", datetime(2021, 1, 1)), ("CE02", datetime(2010, 1, 1))],
+        "site string, d timestamp_ntz",
+    )
+    got = [r.alpha_deg for r in with_declination(rows, dim, F.col("d")).orderBy("d").collect()]
+    assert got == pytest.approx([15.2 + 0.1 * 3652 / 365.25, 15.2 - 0.1 * 366 / 365.25, 14.502], abs=1e-9)
+
+
+def test_epoch_to_ts(spark):
+    values = [0.0, 1767225600.0, 1767225600.123456, float("nan"), float("inf"), None]
+    df = spark.createDataFrame([(v,) for v in values], "s double").select(epoch_to_ts(F.col("s")).alias("t"))
+    assert [r.t for r in df.collect()] == [
+        datetime(1970, 1, 1), datetime(2026, 1, 1), datetime(2026, 1, 1, 0, 0, 0, 123456), None, None, None
+    ]
+
+
+def test_instants_ignore_the_session_zone(spark):
+    gap = datetime(2026, 3, 8, 2, 30)  # does not exist in the session's zone
+    df = spark.createDataFrame([(gap,)], "t timestamp_ntz")
+    assert df.select(instant_to_ntz(ntz_to_instant(F.col("t")))).first()[0] == gap
+    assert df.select(F.unix_seconds(ntz_to_instant(F.col("t")))).first()[0] == 1772937000
+    assert df.select(text.date_text(F.col("t"))).first()[0] == "03/08/2026 02:30:00"
+
+
+def test_format_value_equals_exact_rounding(spark):
+    rnd = random.Random(5)
+    values = [1.5, 0.0, 5e-7, 1.5e-6, 2.5e-6, 0.0078125, -0.0078125, 0.0234375, 1013.0000005, -1e-9]
+    values += [rnd.choice([1, -1]) * (rnd.randrange(10 ** rnd.randrange(3, 10)) * 10 + 5) / 1e7 for _ in range(5000)]
+    values += [rnd.randrange(2**22) / 2 ** rnd.randrange(1, 16) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double").select("x", text.format_value("x").alias("s"))
+    assert [(r.x, r.s) for r in df.collect() if r.s != f"{r.x:.6f}"] == []
+
+
+def test_missing_values(spark):
+    df = spark.createDataFrame([(float("nan"),), (float("inf"),), (float("-inf"),), (None,)], "x double")
+    assert {r[0] for r in df.select(text.format_value("x")).collect()} == {"-9999"}
+    assert df.select(text.tag("wspd1", "x")).first()[0] == "<wspd1>-9999</wspd1>"
+
+
+def test_file_names(spark):
+    df = spark.createDataFrame([(datetime(2026, 3, 30, 14, 5),)], "t timestamp_ntz")
+    day = F.to_date("t")
+    assert df.select(text.file_name(F.lit("46097"), F.col("t"))).first()[0] == "14-30-Mar-2026-46097.xml"
+    past = text.daily_file_name(F.lit("46097"), day, text.day_file_hour(day, F.col("t") + F.expr("INTERVAL 1 DAY")))
+    today = text.daily_file_name(F.lit("46097"), day, text.day_file_hour(day, F.col("t")))
+    assert tuple(df.select(past, today).first()) == ("23-30-Mar-2026-46097.xml", "14-30-Mar-2026-46097.xml")
+    early = F.col("t") - F.expr("INTERVAL 9 HOURS")
+    assert df.select(text.file_name(F.lit("46100"), early)).first()[0] == "05-30-Mar-2026-46100.xml"
