@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewright.functions.timegrid import epoch_to_ts
 from tidewright.model import DECLINATION_SCHEMA, KEYS, MET_FIELDS, WAVE_FIELDS, local_table, stations
-from tidewright.operators.bounds import run_bounds, with_run_constants
+from tidewright.operators.bounds import bin_grid, with_run_constants
 
 T0 = datetime(2026, 1, 1)
 
@@ -58,13 +58,13 @@ def declinations(spark: SparkSession, degrees: float = 0.0, rate: float = 0.0) -
 
 
 def window_runs(spark, start: datetime, end: datetime, keys=(("CE02", "D00001"),), alpha=0.0) -> DataFrame:
-    """Runs over a fixed window, as if ``start`` had been saved."""
-    extent = spark.createDataFrame(
-        [(*k, start, end) for k in keys], "site string, deployment string, earliest timestamp_ntz, latest timestamp_ntz"
+    """Runs over a fixed window."""
+    windows = spark.createDataFrame(
+        [(*k, start, end) for k in keys], "site string, deployment string, bin_start timestamp_ntz, bin_end timestamp_ntz"
     )
-    saved = spark.createDataFrame([(*k, start) for k in keys], "site string, deployment string, last_bin_end timestamp_ntz")
-    return with_run_constants(run_bounds(extent, saved), stations(spark), declinations(spark, alpha))
+    return with_run_constants(bin_grid(windows), stations(spark), declinations(spark, alpha))
 
 
 def by_time(df: DataFrame) -> pd.DataFrame:
-    return pd.DataFrame([r.asDict() for r in df.orderBy(*KEYS, "time").collect()])
+    rows = df.orderBy(*KEYS, "time").collect()
+    return pd.DataFrame([r.asDict() for r in rows], columns=df.columns)

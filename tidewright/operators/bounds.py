@@ -39,14 +39,18 @@ def run_bounds(extent: DataFrame, progress: DataFrame | None = None) -> DataFram
     else:
         saved = progress.select(*KEYS, F.col("last_bin_end").alias("saved_end"))
         df = df.join(saved, KEYS, "left").withColumn("bin_start", F.coalesce("saved_end", "fresh_start"))
-    df = df.filter("bin_end > bin_start")
+    return bin_grid(df).select(
+        *KEYS, "earliest", "latest", "bin_start", "bin_end", "grid_end", "phase", "mid_date"
+    )
+
+
+def bin_grid(windows: DataFrame) -> DataFrame:
+    """Bin geometry of windows ``[bin_start, bin_end)``; those without a whole bin drop out."""
+    df = windows.filter("bin_end > bin_start")
     df = df.withColumn("phase", F.col("bin_start") - floor_to_bin(F.col("bin_start")))
     df = df.withColumn("grid_end", floor_to_bin(F.col("bin_end") - F.col("phase")) + F.col("phase"))
-    return (
-        df.filter("grid_end > bin_start")
-        .withColumn("mid_date", F.col("bin_start") + (F.col("bin_end") - F.col("bin_start")) / 2)
-        .select(*KEYS, "earliest", "latest", "bin_start", "bin_end", "grid_end", "phase", "mid_date")
-    )
+    middle = F.col("bin_start") + (F.col("bin_end") - F.col("bin_start")) / 2
+    return df.filter("grid_end > bin_start").withColumn("mid_date", middle)
 
 
 def with_declination(df: DataFrame, declinations: DataFrame, date: Column) -> DataFrame:

@@ -18,7 +18,7 @@ from tidewright.operators.qc import apply_qc
 from tidewright.plans.progress import clear_progress, latest_progress, read_progress, save_progress
 from tidewright.session import materialize, scratch_path
 from tidewright.sinks.text_files import write_text_files
-from tidewright.sources.array_json import load_met, load_wave
+from tidewright.sources.array_json import INSTRUMENTS, deduplicate, instrument_files, samples
 from tidewright.sources.landed import land, read_landed, window_slice
 
 
@@ -111,14 +111,14 @@ def land_directory(spark: SparkSession, root: str, stations: DataFrame, landed_p
     ``ValueError``.
     """
     totals: dict[str, int] = {}
-    for instrument, load in (("metbk", load_met), ("wavss", load_wave)):
-        watch = Observation(f"{instrument}_files")
-        land(load(spark, root, stations, watch), f"{landed_path}/{instrument}")
-        seen = watch.get
-        if not seen["files"]:
+    for instrument, (_, fields) in INSTRUMENTS.items():
+        files = instrument_files(spark, root, instrument)
+        if files.isEmpty():
             raise FileNotFoundError(f"no {instrument} files under {root}")
-        if seen["files"] == seen["corrupt"] + seen["empty"]:
+        watch = Observation(f"{instrument}_files")
+        if not land(deduplicate(samples(files, fields, stations, watch)), f"{landed_path}/{instrument}"):
             raise ValueError(f"all {instrument} files under {root} failed to load")
+        seen = watch.get
         totals.update({f"{instrument}_{k}": v for k, v in seen.items()})
     return totals
 

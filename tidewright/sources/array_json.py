@@ -106,29 +106,23 @@ def deduplicate(df: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     return first_per_key(df, [*keys, "time"], ORIGIN)
 
 
-def _load(
-    spark: SparkSession, root: str, instrument: str, stations: DataFrame, watch: Observation | None
-) -> DataFrame:
+def instrument_files(spark: SparkSession, root: str, instrument: str) -> DataFrame:
+    """Files of one instrument in every deployment under ``root``."""
     glob, fields = INSTRUMENTS[instrument]
-    files = read_files(spark, f"{root}/*/*/buoy/{instrument}", glob, fields)
-    return deduplicate(samples(files, fields, stations, watch))
+    return read_files(spark, f"{root}/*/*/buoy/{instrument}", glob, fields)
 
 
-def load_met(
-    spark: SparkSession, root: str, stations: DataFrame, watch: Observation | None = None
-) -> DataFrame:
+def load_met(spark: SparkSession, root: str, stations: DataFrame) -> DataFrame:
     """Meteorological samples of every deployment under ``root``."""
-    return _load(spark, root, "metbk", stations, watch)
+    return deduplicate(samples(instrument_files(spark, root, "metbk"), MET_FIELDS, stations))
 
 
-def load_wave(
-    spark: SparkSession, root: str, stations: DataFrame, watch: Observation | None = None
-) -> DataFrame:
+def load_wave(spark: SparkSession, root: str, stations: DataFrame) -> DataFrame:
     """Wave samples of every deployment under ``root``, with raw time stamps.
 
     Binning applies the instrument's shift; ``shifted_wave`` applies it up front.
     """
-    return _load(spark, root, "wavss", stations, watch)
+    return deduplicate(samples(instrument_files(spark, root, "wavss"), WAVE_FIELDS, stations))
 
 
 def shifted_wave(wave: DataFrame) -> DataFrame:

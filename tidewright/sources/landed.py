@@ -26,27 +26,27 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def land(samples: DataFrame, path: str) -> None:
-    """Append the samples whose time stamp is not landed yet.
+def land(samples: DataFrame, path: str) -> int:
+    """Append the samples whose time stamp is not landed yet; returns the samples seen.
 
     ``samples`` must be unique per time stamp.  A row landed earlier wins over a
     later copy.  Repeating a call, also one that broke off, adds nothing twice.
     """
     new = materialize(samples.withColumn("date", F.to_date("time")), "landing")
+    span = new.agg(F.count("*").alias("n"), F.min("date").alias("first"), F.max("date").alias("last")).first()
     landed = read_landed(samples.sparkSession, path)
-    if landed is not None:
-        span = new.agg(F.min("date"), F.max("date")).first()
-        if span[0] is None:
-            return
-        seen = landed.filter(F.col("date").between(*span)).select(*PARTITIONS, "time")
+    if landed is not None and span["n"]:
+        seen = landed.filter(F.col("date").between(span["first"], span["last"])).select(*PARTITIONS, "time")
         new = new.join(seen, [*PARTITIONS, "time"], "left_anti")
-    (
-        new.hint("rebalance", *PARTITIONS)
-        .sortWithinPartitions(*PARTITIONS, "time")
-        .write.mode("append")
-        .partitionBy(*PARTITIONS)
-        .parquet(path)
-    )
+    if span["n"]:
+        (
+            new.hint("rebalance", *PARTITIONS)
+            .sortWithinPartitions(*PARTITIONS, "time")
+            .write.mode("append")
+            .partitionBy(*PARTITIONS)
+            .parquet(path)
+        )
+    return span["n"]
 
 
 def window_slice(landed: DataFrame, runs: DataFrame) -> DataFrame:
