@@ -69,6 +69,7 @@ def test_copies_are_combined_before_the_shuffle(spark):
     )
     out = first_per_key(df, ["k"], ["id"])
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in plan
+    before_shuffle = plan.split("== Initial Plan ==")[0].split("Exchange")[-1]
+    assert "WindowGroupLimit" in before_shuffle and "Partial" in before_shuffle
     assert out.filter("k = 0").first().id == 0
     assert out.count() == 20001

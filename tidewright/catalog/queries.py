@@ -45,7 +45,7 @@ def query(name: str) -> Callable[[Query], Query]:
 
 
 def rounded(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.withColumns({c: F.round(c, DIGITS) for c in columns})
+    return df.withColumns({c: F.expr(f"round({c}, {DIGITS})") for c in columns})
 
 
 def declinations(spark: SparkSession) -> DataFrame:
@@ -61,12 +61,12 @@ def as_of() -> Column:
 
 
 def fresh_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    met, wave = events.met_samples(spark, sf_dir), events.wave_samples(spark, sf_dir)
+    met, wave = events.raw_met(spark, sf_dir), events.raw_wave(spark, sf_dir)
     return plan_runs(met, wave, stations(spark), declinations(spark))
 
 
 def resumed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    met, wave = events.met_samples(spark, sf_dir), events.wave_samples(spark, sf_dir)
+    met, wave = events.raw_met(spark, sf_dir), events.raw_wave(spark, sf_dir)
     return plan_runs(met, wave, stations(spark), declinations(spark), progress(spark))
 
 
@@ -156,7 +156,7 @@ def station_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First sample per station and minute, by ``event_id``."""
     minute = events.raw_met(spark, sf_dir).withColumn("time", F.window("time", "1 minute")["start"])
-    return first_per_key(minute, [*KEYS, "time"], ["event_id"]).select(*KEYS, "time", "event_id", *MET_FIELDS[1:])
+    return first_per_key(minute, ["time", *KEYS], ["event_id"]).select(*KEYS, "time", "event_id", *MET_FIELDS[1:])
 
 
 # ---- scalar functions --------------------------------------------------------------

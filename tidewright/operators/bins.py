@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidewright.functions.seawater import add_practical_salinity
 from tidewright.functions.timegrid import floor_to_bin
-from tidewright.functions.vectors import add_direction_from, rotate_by, wave_unit_vector, wind_speed
+from tidewright.functions.vectors import add_direction_from, rotate_by, wave_unit_vector
 from tidewright.model import BINNED_FIELDS, KEYS, MET_SHIFT_MINUTES, WAVE_SHIFT_MINUTES
 from tidewright.operators.bounds import bin_spine
 from tidewright.operators.rain import rain_by_cell
@@ -37,21 +37,15 @@ def place(samples: DataFrame, bounds: DataFrame, shift_minutes: int) -> DataFram
     ``bounds`` should be a stored table, so that its size decides how it is
     joined.
     """
-    shift = F.expr(f"INTERVAL {shift_minutes} MINUTES")
-    run = bounds.withColumns(
-        {
-            "from_time": F.col("bin_start") - shift,
-            "to_time": F.col("grid_end") - shift,
-            "offset": shift - F.col("phase"),
-        }
+    shift = f"INTERVAL {shift_minutes} MINUTES"
+    run = bounds.selectExpr(
+        *KEYS, "phase", "cos_a", "sin_a", "pressure_dbar",
+        f"bin_start - {shift} AS from_time", f"grid_end - {shift} AS to_time", f"{shift} - phase AS offset",
     )
-    inside = (F.col("time") >= F.col("from_time")) & (F.col("time") < F.col("to_time"))
-    return (
-        samples.join(run, KEYS)
-        .withColumn("inside", inside)
-        .withColumn("shifted", F.col("time") + F.col("offset"))
-        .withColumn("cell", floor_to_bin(F.col("shifted")))
+    moved = samples.join(run, KEYS).withColumns(
+        {"inside": F.expr("time >= from_time AND time < to_time"), "shifted": F.expr("time + offset")}
     )
+    return moved.withColumn("cell", floor_to_bin(F.col("shifted")))
 
 
 def met_variables(placed: DataFrame, keep: list[str] = GROUP) -> DataFrame:
@@ -63,17 +57,17 @@ def met_variables(placed: DataFrame, keep: list[str] = GROUP) -> DataFrame:
     salted = add_practical_salinity(
         rotated, "sea_surface_conductivity", "sea_surface_temperature", "pressure_dbar"
     )
-    return salted.select(
+    return salted.selectExpr(
         *keep,
-        wind_speed(F.col("wind_u"), F.col("wind_v")).alias("wind_speed"),
+        "sqrt(wind_u * wind_u + wind_v * wind_v) AS wind_speed",
         "wind_u",
         "wind_v",
-        F.col("barometric_pressure").alias("baro"),
-        F.col("air_temperature").alias("air_temp"),
-        F.col("relative_humidity").alias("rel_humidity"),
-        F.col("shortwave_irradiance").alias("shortwave"),
-        F.col("longwave_irradiance").alias("longwave"),
-        F.col("sea_surface_temperature").alias("sst"),
+        "barometric_pressure AS baro",
+        "air_temperature AS air_temp",
+        "relative_humidity AS rel_humidity",
+        "shortwave_irradiance AS shortwave",
+        "longwave_irradiance AS longwave",
+        "sea_surface_temperature AS sst",
         "salinity",
     )
 
@@ -94,7 +88,7 @@ def wave_variables(placed: DataFrame, keep: list[str] = GROUP) -> DataFrame:
 
 def mean_of(c: str) -> Column:
     """Mean without NULL; NaN (opposite infinities) counts as missing."""
-    return F.nanvl(F.avg(c), F.lit(None)).alias(c)
+    return F.expr(f"nanvl(avg({c}), CAST(NULL AS DOUBLE)) AS {c}")
 
 
 def bin_means(parts: list[DataFrame], values: list[str]) -> DataFrame:

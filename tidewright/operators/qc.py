@@ -11,5 +11,9 @@ from tidewright.model import QC_BOUNDS
 def apply_qc(df: DataFrame, bounds: dict[str, tuple[float, float]] = QC_BOUNDS) -> DataFrame:
     """Blank values outside their inclusive bounds; absent columns are skipped."""
     return df.withColumns(
-        {c: F.when(F.col(c).between(lo, hi), F.col(c)) for c, (lo, hi) in bounds.items() if c in df.columns}
+        {
+            c: F.expr(f"CASE WHEN {c} BETWEEN {lo!r}D AND {hi!r}D THEN {c} END")
+            for c, (lo, hi) in bounds.items()
+            if c in df.columns
+        }
     )

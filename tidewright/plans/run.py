@@ -46,8 +46,11 @@ def plan_runs(
     progress: DataFrame | None = None,
     alpha_date: Column | None = None,
 ) -> DataFrame:
-    """Bounds and constants of each deployment with new bins and both instruments."""
-    both = data_bounds(met).join(wave.groupBy(*KEYS).agg(F.count("*").alias("n_wave")), KEYS, "left_semi")
+    """Bounds and constants of each deployment with new bins and both instruments.
+
+    Copies of a time stamp make no difference here.
+    """
+    both = data_bounds(met).join(wave.select(*KEYS).distinct(), KEYS, "left_semi")
     saved = None if progress is None else latest_progress(progress)
     return with_run_constants(run_bounds(both, saved), stations, declinations, alpha_date)
 

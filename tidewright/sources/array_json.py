@@ -103,7 +103,7 @@ def samples(
 
 def deduplicate(df: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """One row per time stamp: the first by file path, then by position."""
-    return first_per_key(df, [*keys, "time"], ORIGIN)
+    return first_per_key(df, ["time", *keys], ORIGIN)
 
 
 def instrument_files(spark: SparkSession, root: str, instrument: str) -> DataFrame:

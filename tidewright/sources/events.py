@@ -87,9 +87,9 @@ def raw_wave(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def met_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Meteorological samples, the first one of each time stamp."""
-    return first_per_key(raw_met(spark, sf_dir), [*KEYS, "time"], ["event_id"])
+    return first_per_key(raw_met(spark, sf_dir), ["time", *KEYS], ["event_id"])
 
 
 def wave_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wave samples with raw time stamps, the first one of each."""
-    return first_per_key(raw_wave(spark, sf_dir), [*KEYS, "time"], ["event_id"])
+    return first_per_key(raw_wave(spark, sf_dir), ["time", *KEYS], ["event_id"])
