@@ -12,7 +12,7 @@ from tidewright.plans.progress import (
     clear_progress, latest_progress, progress_from_state_files, read_progress, save_progress,
 )
 from tidewright.plans.run import run_directory
-from tidewright.sources.landed import read_landed, window_slice
+from tidewright.sources.landed import edge_slice, read_landed, window_slice
 
 START = datetime(2026, 3, 1)
 
@@ -122,15 +122,22 @@ def test_alpha_date_and_missing_declination(spark, tmp_path):
         run_directory(*args, declinations(spark).filter("site = 'CE09'"), *rest, reprocess=True)
 
 
-def test_window_slice_keeps_the_sample_before_the_window(spark, tmp_path):
-    raw_hours(tmp_path / "raw", "ce02shsm", 0, 3)
-    raw_hours(tmp_path / "raw", "ce02shsm", 24, 3)
-    raw_hours(tmp_path / "raw", "ce02shsm", 24 * 9, 3)
-    whole = go(spark, tmp_path)
+def test_slices_prune_partitions(spark, tmp_path):
+    """The window's days and the last one before it; for bounds the first and last day."""
+    for day in (0, 1, 9, 12):
+        raw_hours(tmp_path / "raw", "ce02shsm", 24 * day, 3)
+    raw_hours(tmp_path / "raw", "ce04ossm", 24 * 5, 3)
+    go(spark, tmp_path)
     met = read_landed(spark, str(tmp_path / "landed/metbk"))
-    runs = whole.runs.selectExpr("site", "deployment", "timestamp_ntz'2026-03-10 00:30:00' AS bin_start")
-    dates = {str(r.date) for r in window_slice(met, runs).select("date").distinct().collect()}
-    assert dates == {"2026-03-02", "2026-03-10"}
+    runs = spark.sql("SELECT 'CE02' AS site, 'D00020' AS deployment, timestamp_ntz'2026-03-10 00:30:00' AS bin_start")
+
+    def days(df):
+        return {(r.site, str(r.date)) for r in df.select("site", "date").distinct().collect()}
+
+    window = window_slice(met, runs)
+    assert days(window) == {("CE02", "2026-03-02"), ("CE02", "2026-03-10"), ("CE02", "2026-03-13")}
+    assert days(edge_slice(met)) == {("CE02", "2026-03-01"), ("CE02", "2026-03-13"), ("CE04", "2026-03-06")}
+    assert "dynamicpruning" in window._jdf.queryExecution().executedPlan().toString()
 
 
 def test_progress_log(spark, tmp_path):

@@ -19,7 +19,7 @@ from tidewright.plans.progress import clear_progress, latest_progress, read_prog
 from tidewright.session import materialize, scratch_path
 from tidewright.sinks.text_files import write_text_files
 from tidewright.sources.array_json import INSTRUMENTS, deduplicate, instrument_files, samples
-from tidewright.sources.landed import land, read_landed, window_slice
+from tidewright.sources.landed import edge_slice, land, read_landed, window_slice
 
 
 @dataclass(frozen=True)
@@ -80,6 +80,8 @@ def run(
 ) -> RunResult | None:
     """Write bulletins of all new bins and record the progress; None without new bins.
 
+    Samples may be any frames unique per time stamp; of the landed tables only the
+    dates in question are read.
     Progress is recorded after the files are written: a run that breaks off is
     repeated.  Files go to ``<out_path>/<site>/<deployment>/``.
     """
@@ -90,13 +92,15 @@ def run(
         run_id += 1
     alpha = None if alpha_date is None else ntz(alpha_date)
     progress = read_progress(spark, progress_path)
-    runs = materialize(plan_runs(met, wave, stations, declinations, progress, alpha), "runs")
+    landed = "date" in met.columns
+    extent = edge_slice(met) if landed else met
+    runs = materialize(plan_runs(extent, wave, stations, declinations, progress, alpha), "runs")
     counts = runs.agg(F.count("*").alias("n"), F.count("alpha_deg").alias("n_alpha")).first()
     if counts["n"] == 0:
         return None
     if counts["n_alpha"] < counts["n"]:
         raise ValueError("no declination for some stations with new data")
-    if "date" in met.columns:
+    if landed:
         met, wave = window_slice(met, runs), window_slice(wave, runs)
     observed = materialize(observations(met, wave, runs), "observations")
     files = bulletins(observed, runs, ntz(as_of)).withColumn(

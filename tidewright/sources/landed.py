@@ -49,18 +49,37 @@ def land(samples: DataFrame, path: str) -> int:
     return span["n"]
 
 
+def landed_days(landed: DataFrame) -> DataFrame:
+    """Landed dates per deployment, from partition values alone."""
+    return landed.select(*PARTITIONS).distinct()
+
+
+def at_days(landed: DataFrame, days: DataFrame) -> DataFrame:
+    """Landed samples of the given ``(site, deployment, date)`` partitions only.
+
+    ``days`` is stored first, so its size is known, and carries a comparison: both
+    are what Spark asks for before it prunes the partitions of the scan at run time.
+    """
+    stored = materialize(days.select(*PARTITIONS), "days").filter("date >= DATE'0001-01-01'")
+    return landed.join(stored, PARTITIONS, "left_semi")
+
+
+def edge_slice(landed: DataFrame) -> DataFrame:
+    """First and last landed day of each deployment: all that time bounds need."""
+    edges = landed_days(landed).groupBy(*KEYS).agg(F.array(F.min("date"), F.max("date")).alias("edge"))
+    return at_days(landed, edges.select(*KEYS, F.explode("edge").alias("date")).distinct())
+
+
 def window_slice(landed: DataFrame, runs: DataFrame) -> DataFrame:
-    """Landed samples a set of runs needs: the window, and one sample before it.
+    """Landed samples a set of runs needs: their windows, and one sample before each.
 
-    The sample before the window feeds its first rain difference.  It lies on the
-    last landed date before the window's first one, found from partition values
-    alone; the scan is then pruned to a literal date.
+    The sample before a window feeds its first rain difference; it lies on the
+    last landed date before the window's first one.
     """
-    first = runs.select(*KEYS, F.to_date(F.col("bin_start") - F.expr("INTERVAL 5 MINUTES")).alias("first_date"))
-    before = (
-        landed.select(*PARTITIONS).distinct().join(first, KEYS).groupBy(*KEYS)
-        .agg(F.max(F.when(F.col("date") < F.col("first_date"), F.col("date"))).alias("before"),
-             F.min("first_date").alias("first_date"))
+    first = runs.select(*KEYS, F.to_date(F.expr("bin_start - INTERVAL 5 MINUTES")).alias("first_date"))
+    days = landed_days(landed).join(first, KEYS)
+    before = days.groupBy(*KEYS).agg(
+        F.max(F.when(F.col("date") < F.col("first_date"), F.col("date"))).alias("before")
     )
-    lowest = before.agg(F.min(F.coalesce("before", "first_date"))).first()[0]
-    return landed.filter(F.col("date") >= F.lit(lowest)) if lowest is not None else landed.limit(0)
+    needed = days.join(before, KEYS).filter("date >= coalesce(before, first_date)")
+    return at_days(landed, needed)
