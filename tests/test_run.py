@@ -140,6 +140,13 @@ def test_slices_prune_partitions(spark, tmp_path):
     assert "dynamicpruning" in window._jdf.queryExecution().executedPlan().toString()
 
 
+def test_no_files(spark, tmp_path):
+    (tmp_path / "raw/ce02shsm/D00020/buoy/metbk").mkdir(parents=True)
+    (tmp_path / "raw/ce02shsm/D00020/buoy/wavss").mkdir(parents=True)
+    with pytest.raises(FileNotFoundError):
+        go(spark, tmp_path)
+
+
 def test_progress_log(spark, tmp_path):
     path = str(tmp_path / "progress")
     assert read_progress(spark, path).count() == 0

@@ -16,10 +16,11 @@ from tidewright.operators.bounds import data_bounds, run_bounds, with_run_consta
 from tidewright.operators.bulletin import bulletin_files, file_names
 from tidewright.operators.qc import apply_qc
 from tidewright.plans.progress import clear_progress, latest_progress, read_progress, save_progress
-from tidewright.session import materialize, scratch_path
+from tidewright.session import materialize
 from tidewright.sinks.text_files import write_text_files
 from tidewright.sources.array_json import INSTRUMENTS, deduplicate, instrument_files, samples
 from tidewright.sources.landed import edge_slice, land, read_landed, window_slice
+from tidewright.streaming.landing import land_new_files
 
 
 @dataclass(frozen=True)
@@ -112,7 +113,7 @@ def run(
 
 
 def land_directory(spark: SparkSession, root: str, stations: DataFrame, landed_path: str) -> dict[str, int]:
-    """Land every file under ``root``; returns files seen, corrupt and empty.
+    """Land every file under ``root``, new or not; returns files seen, corrupt and empty.
 
     Without any file this raises ``FileNotFoundError``, without a readable one
     ``ValueError``.
@@ -132,11 +133,20 @@ def land_directory(spark: SparkSession, root: str, stations: DataFrame, landed_p
 
 def run_directory(
     spark: SparkSession, root: str, stations: DataFrame, declinations: DataFrame, out_path: str,
-    progress_path: str, landed_path: str | None = None, **options,
+    progress_path: str, landed_path: str, **options,
 ) -> RunResult | None:
-    """Land the files under ``root``, then run on the landed samples."""
-    landed_path = landed_path or scratch_path(spark, "landed")
-    land_directory(spark, root, stations, landed_path)
-    met = read_landed(spark, f"{landed_path}/metbk")
-    wave = read_landed(spark, f"{landed_path}/wavss")
-    return run(spark, met, wave, stations, declinations, out_path, progress_path, **options)
+    """Land the files that are new under ``root``, then run on the landed samples.
+
+    Files landed by an earlier call are not parsed again.  An instrument without
+    any landed sample raises ``FileNotFoundError``.
+    """
+    landed = {}
+    for instrument in INSTRUMENTS:
+        path = f"{landed_path}/{instrument}"
+        land_new_files(spark, root, instrument, stations, path, f"{landed_path}/seen_{instrument}")
+        landed[instrument] = read_landed(spark, path)
+        if landed[instrument] is None:
+            raise FileNotFoundError(f"no readable {instrument} files under {root}")
+    return run(
+        spark, landed["metbk"], landed["wavss"], stations, declinations, out_path, progress_path, **options
+    )
