@@ -56,11 +56,11 @@ def bin_grid(windows: DataFrame) -> DataFrame:
 def with_declination(df: DataFrame, declinations: DataFrame, date: Column) -> DataFrame:
     """Add ``alpha_deg`` for ``date`` from the declination dimension, joined by site.
 
-    The dimension has a few rows per station and is broadcast below Spark's size
-    threshold.  Of several reference dates per site the last one not after
+    The dimension has a few rows per station, hence one partition, and is broadcast
+    below Spark's size threshold.  Of several reference dates per site the last one not after
     ``date`` counts, or the first one if all lie after it.
     """
-    dim = declinations.groupBy("site").agg(
+    dim = declinations.coalesce(1).groupBy("site").agg(
         F.sort_array(F.collect_list(F.struct("ref_date", "decl_deg", "rate_deg_per_year"))).alias("refs")
     )
     past = F.filter("refs", lambda r: r["ref_date"] <= date)

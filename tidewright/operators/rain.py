@@ -20,6 +20,9 @@ from tidewright.model import KEYS
 RAIN_MIN = 0.2
 RAIN_MAX = 2.5
 
+#: The cell leads: it varies most, so it is what the sorts compare first.
+CELL = ["cell", *KEYS]
+
 
 def valid_increment(level: Column, previous: Column) -> Column:
     """``level - previous`` where it is plausible, else NULL."""
@@ -34,17 +37,17 @@ def rain_rate(samples: DataFrame, level: str = "precipitation_level") -> DataFra
     the window serves the merge join.
     """
     placed = samples.withColumn("cell", floor_to_bin(F.col("time")))
-    in_cell = Window.partitionBy(*KEYS, "cell").orderBy("time")
+    in_cell = Window.partitionBy(*CELL).orderBy("time")
     rows = placed.withColumn("before", F.lag(level).over(in_cell)).withColumn(
         "is_first", F.row_number().over(in_cell) == 1
     )
-    last = placed.groupBy(*KEYS, "cell").agg(F.max_by(level, "time").alias("last_level"))
+    last = placed.groupBy(*CELL).agg(F.max_by(level, "time").alias("last_level"))
     carried = last.select(
-        *KEYS, "cell", F.lag("last_level").over(Window.partitionBy(*KEYS).orderBy("cell")).alias("carried")
+        *CELL, F.lag("last_level").over(Window.partitionBy(*KEYS).orderBy("cell")).alias("carried")
     )
     previous = F.when(F.col("is_first"), F.col("carried")).otherwise(F.col("before"))
     return (
-        rows.join(carried, [*KEYS, "cell"], "left")
+        rows.join(carried, CELL, "left")
         .withColumn("rain_rate", valid_increment(F.col(level), previous))
         .select(*samples.columns, "rain_rate")
     )
@@ -56,7 +59,7 @@ def rain_by_cell(placed: DataFrame, level: str = "precipitation_level") -> DataF
     The cell's inner differences are reduced first; the difference across the
     cell's left edge is added on the reduced rows.
     """
-    cell = [*KEYS, "phase", "cell"]
+    cell = [*CELL, "phase"]
     inner = placed.select(*cell, "inside", "time", level).withColumn(
         "inc", valid_increment(F.col(level), F.lag(level).over(Window.partitionBy(*cell).orderBy("time")))
     )
