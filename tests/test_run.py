@@ -6,13 +6,14 @@ from datetime import datetime, timedelta, timezone
 
 import pytest
 
-from tests.util import declinations, epoch
+from tests.util import declinations, epoch, met_frame, wave_frame
 from tidewright.model import MET_FIELDS, WAVE_FIELDS, stations
 from tidewright.plans.progress import (
     clear_progress, latest_progress, progress_from_state_files, read_progress, save_progress,
 )
-from tidewright.plans.run import run_directory
-from tidewright.sources.landed import edge_slice, read_landed, window_slice
+from tidewright.plans.run import ntz, plan_runs, run, run_directory
+from tidewright.sources.array_json import load_met
+from tidewright.sources.landed import edge_slice, land, read_landed, window_slice
 
 START = datetime(2026, 3, 1)
 
@@ -93,13 +94,11 @@ def test_first_run_increment_and_reprocess(spark, tmp_path):
     same(parts, ce02)
 
 
-def test_a_site_without_waves_waits(spark, tmp_path):
-    raw_hours(tmp_path / "raw", "ce02shsm", 0, 4)
-    raw_hours(tmp_path / "raw", "ce07shsm", 0, 4)
-    for p in (tmp_path / "raw/ce07shsm/D00020/buoy/wavss").iterdir():
-        p.write_text("broken")
-    assert go(spark, tmp_path).deployments == 1
-    assert list(saved(spark, tmp_path)) == [("CE02", "D00020")]
+def test_a_site_without_waves_waits(spark):
+    times = [START + timedelta(minutes=10 * i) for i in range(24)]
+    met = met_frame(spark, [{"site": s, "time": t} for s in ("CE02", "CE07") for t in times])
+    wave = wave_frame(spark, [{"time": t} for t in times])
+    assert [r.site for r in plan_runs(met, wave, stations(spark), declinations(spark)).collect()] == ["CE02"]
 
 
 def test_progress_is_not_saved_when_writing_fails(spark, tmp_path):
@@ -111,15 +110,15 @@ def test_progress_is_not_saved_when_writing_fails(spark, tmp_path):
 
 
 def test_alpha_date_and_missing_declination(spark, tmp_path):
-    raw_hours(tmp_path / "raw", "ce02shsm", 0, 4)
-    args = (spark, str(tmp_path / "raw"), stations(spark))
-    rest = (str(tmp_path / "out"), str(tmp_path / "progress"), str(tmp_path / "landed"))
-    fixed = run_directory(*args, declinations(spark, 14.0, 1.0), *rest, alpha_date=datetime(2027, 1, 1, 6, tzinfo=timezone.utc))
-    assert fixed.runs.first().alpha_deg == pytest.approx(15.0)
-    own = run_directory(*args, declinations(spark, 14.0, 1.0), *rest, reprocess=True)
-    assert own.runs.first().alpha_deg == pytest.approx(14.0 + (59 + 2 / 24) / 365.25, abs=1e-6)
+    times = [START + timedelta(minutes=10 * i) for i in range(24)]
+    met, wave = met_frame(spark, [{"time": t} for t in times]), wave_frame(spark, [{"time": t} for t in times])
+    dim = declinations(spark, 14.0, 1.0)
+    fixed = plan_runs(met, wave, stations(spark), dim, alpha_date=ntz(datetime(2027, 1, 1, 6, tzinfo=timezone.utc)))
+    assert fixed.first().alpha_deg == pytest.approx(15.0)
+    own = plan_runs(met, wave, stations(spark), dim).first()
+    assert own.alpha_deg == pytest.approx(14.0 + (59 + 2 / 24) / 365.25, abs=1e-6)
     with pytest.raises(ValueError, match="declination"):
-        run_directory(*args, declinations(spark).filter("site = 'CE09'"), *rest, reprocess=True)
+        run(spark, met, wave, stations(spark), dim.filter("site = 'CE09'"), str(tmp_path / "out"), str(tmp_path / "progress"))
 
 
 def test_slices_prune_partitions(spark, tmp_path):
@@ -127,7 +126,7 @@ def test_slices_prune_partitions(spark, tmp_path):
     for day in (0, 1, 9, 12):
         raw_hours(tmp_path / "raw", "ce02shsm", 24 * day, 3)
     raw_hours(tmp_path / "raw", "ce04ossm", 24 * 5, 3)
-    go(spark, tmp_path)
+    land(load_met(spark, str(tmp_path / "raw"), stations(spark)), str(tmp_path / "landed/metbk"))
     met = read_landed(spark, str(tmp_path / "landed/metbk"))
     runs = spark.sql("SELECT 'CE02' AS site, 'D00020' AS deployment, timestamp_ntz'2026-03-10 00:30:00' AS bin_start")
 
