@@ -18,7 +18,7 @@ from tidewright.model import (
     WAVE_SHIFT_MINUTES, local_table, stations,
 )
 from tidewright.operators import bins
-from tidewright.operators.bounds import bin_spine, data_bounds, with_declination
+from tidewright.operators.bounds import bin_spine, with_declination
 from tidewright.operators.bulletin import bulletin_files, file_names
 from tidewright.operators.dedup import first_per_key
 from tidewright.operators.qc import apply_qc

@@ -87,8 +87,12 @@ def wave_variables(placed: DataFrame, keep: list[str] = GROUP) -> DataFrame:
 
 
 def mean_of(c: str) -> Column:
-    """Mean without NULL; NaN (opposite infinities) counts as missing."""
-    return F.expr(f"nanvl(avg({c}), CAST(NULL AS DOUBLE)) AS {c}")
+    """Mean of all values but NULL and NaN, which infinite inputs can leave behind.
+
+    A mean that is NaN itself (opposite infinities) counts as missing.
+    """
+    null = "CAST(NULL AS DOUBLE)"
+    return F.expr(f"nanvl(avg(nanvl({c}, {null})), {null}) AS {c}")
 
 
 def bin_means(parts: list[DataFrame], values: list[str]) -> DataFrame:
