@@ -57,10 +57,14 @@ def text_bytes(text_col: str = "text") -> Column:
     return F.coalesce(F.col(text_col), F.lit("")).cast("binary")
 
 
-def row_keys(id_col: str = "doc_id", text_col: str = "text") -> dict[str, Column]:
-    """Two columns, never NULL, that name a row; rows equal in id and text share them."""
-    key, text = F.col(id_col), F.col(text_col)
-    return {"_id": F.coalesce(key, F.lit(0)), "_hash": F.xxhash64(text, text.isNull(), key.isNull())}
+def row_keys(df: DataFrame, id_col: str = "doc_id") -> dict[str, Column]:
+    """Two columns, never NULL, that name a row; only rows equal in every column share them.
+
+    Columns of maps take no part.
+    """
+    columns = [F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    hashed = F.xxhash64(*columns, *[c.isNull() for c in columns])
+    return {"_id": F.coalesce(F.col(id_col), F.lit(0)), "_hash": hashed}
 
 
 def same(left: str, right: str, columns: list[str]) -> Column:

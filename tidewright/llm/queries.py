@@ -7,18 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import simhash
+from tidewright.llm import mixing, packing, simhash
 from tidewright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=(1.0, 2.0, 3.0), cap=3.0)
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), capacity=2048)
+
+
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return near.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Query] = {
+    "op3_source_mix": source_mix,
+    "op4_best_fit_packing": best_fit_packing,
     "op10_simhash_near_dedup": simhash_near_dedup,
 }
 #: DuckDB SQL of those queries that SQL can express.

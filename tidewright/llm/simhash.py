@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for key, hashed, data in rows:
             yield key, hashed, (simhash(data, shingle) ^ (1 << 63)) - (1 << 63)
 
-    return in_batches(docs, [F.col(id_col), row_keys(id_col, text_col)["_hash"], text_bytes(text_col)], work, schema)
+    return in_batches(docs, [F.col(id_col), row_keys(docs, id_col)["_hash"], text_bytes(text_col)], work, schema)
 
 
 def links(classes: DataFrame, max_bits: int = 2) -> DataFrame:
@@ -94,9 +94,9 @@ def near_duplicates(
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
-    """One row of ``docs`` of each component, that of least id (NULL last), then least hash of its text.
+    """One row of ``docs`` of each component, that of least id (NULL last), then least hash of the row.
 
-    Of rows equal in id and text one stays.  All columns are kept as they are.
+    Of rows equal in every column one stays.  All columns are kept as they are.
     """
     near = near_duplicates(docs, id_col, text_col, **options)
     first = F.min(F.struct(F.col(id_col).isNull().alias("n"), F.coalesce(F.col(id_col), F.lit(0)).alias("i"), F.col("_hash").alias("h")))
@@ -104,5 +104,5 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         near.groupBy(F.coalesce("component_id", "fp"), F.col("component_id").isNull()).agg(first.alias("k"))
         .select(F.col("k.i").alias("_id"), F.col("k.h").alias("_hash"))
     )
-    chosen = docs.withColumns(row_keys(id_col, text_col)).join(kept, ["_id", "_hash"], "left_semi")
+    chosen = docs.withColumns(row_keys(docs, id_col)).join(kept, ["_id", "_hash"], "left_semi")
     return chosen.dropDuplicates(["_id", "_hash"]).select(*docs.columns)
