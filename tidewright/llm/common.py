@@ -49,7 +49,7 @@ def in_batches(
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, schema=out)
 
-    return df.select(*columns).mapInArrow(run, schema)
+    return df.select(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).mapInArrow(run, schema)
 
 
 def text_bytes(text_col: str = "text") -> Column:
@@ -64,7 +64,7 @@ def row_keys(df: DataFrame, id_col: str = "doc_id") -> dict[str, Column]:
     """
     columns = [F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     hashed = F.xxhash64(*columns, *[c.isNull() for c in columns])
-    return {"_id": F.coalesce(F.col(id_col), F.lit(0)), "_hash": hashed}
+    return {"__id": F.coalesce(F.col(id_col), F.lit(0)), "__hash": hashed}
 
 
 def same(left: str, right: str, columns: list[str]) -> Column:

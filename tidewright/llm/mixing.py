@@ -26,10 +26,10 @@ MAX_STEPS = 80
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(id, source, size, _id, _hash): size is the number of words, 0 for a NULL text."""
+    """(id, source, size, __id, __hash): size is the number of words, 0 for a NULL text."""
     schema = T.StructType([
         docs.schema[id_col], T.StructField("source", docs.schema[source_col].dataType),
-        T.StructField("size", T.LongType()), T.StructField("_id", docs.schema[id_col].dataType), T.StructField("_hash", T.LongType()),
+        T.StructField("size", T.LongType()), T.StructField("__id", docs.schema[id_col].dataType), T.StructField("__hash", T.LongType()),
     ])
 
     def work(rows: list[tuple]) -> Iterator[tuple]:
@@ -37,7 +37,7 @@ def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
             yield key, source, len(data.split()), row_id, hashed
 
     keys = row_keys(docs, id_col)
-    return in_batches(docs, [F.col(id_col), F.col(source_col), keys["_id"], keys["_hash"], text_bytes(text_col)], work, schema)
+    return in_batches(docs, [F.col(id_col), F.col(source_col), keys["__id"], keys["__hash"], text_bytes(text_col)], work, schema)
 
 
 def repeating_weights(sources: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0)) -> DataFrame:
@@ -131,7 +131,7 @@ def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *,
     weights: tuple[float, ...] = (1.0, 2.0, 3.0), cap: float = CAP,
 ) -> DataFrame:
-    """(id, _id, _hash, size, source_size, target, copies) of every row.
+    """(id, __id, __hash, size, source_size, target, copies) of every row.
 
     A NULL source is a source, the last one.  A NULL text has size 0; rows of size 0 keep one copy and take no
     words.  Which rows of one source and size get one copy more is settled by a hash of the row, so reruns
@@ -144,21 +144,21 @@ def mix(
     goals = stored(targets(stored(weighted, "weights"), cap), "targets")
     counts = every.where("size > 0")
     copies = stored(allot(counts, tilts(counts, goals, cap), cap), "copies")
-    ranked = numbered(sized, ["source", "size"], ["_id", "_hash"])
+    ranked = numbered(sized, ["source", "size"], ["__id", "__hash"])
     taken = F.when(F.col("l.size") == 0, 1).otherwise(
         F.coalesce(F.col("whole") + F.when(F.col("rank") < F.col("extra"), 1).otherwise(0), F.lit(0)))
     return (
         ranked.alias("l").join(copies.alias("r"), same("l", "r", ["source", "size"]), "left")
         .select("l.*", taken.cast("long").alias("copies")).alias("l")
         .join(goals.alias("r"), same("l", "r", ["source"]))
-        .select(f"l.{id_col}", "_id", "_hash", "size", "source_size", "target", "copies")
+        .select(f"l.{id_col}", "__id", "__hash", "size", "source_size", "target", "copies")
     )
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options: object) -> DataFrame:
     """``docs`` with each row as often as the mix takes it."""
-    taken = mix(docs, id_col, **options).groupBy("_id", "_hash").agg(F.sum("copies").alias("_copies")).where("_copies > 0")
-    keyed = docs.withColumns(row_keys(docs, id_col)).join(taken, ["_id", "_hash"])
-    one = Window.partitionBy("_id", "_hash").orderBy("_id")
+    taken = mix(docs, id_col, **options).groupBy("__id", "__hash").agg(F.sum("copies").alias("_copies")).where("_copies > 0")
+    keyed = docs.withColumns(row_keys(docs, id_col)).join(taken, ["__id", "__hash"])
+    one = Window.partitionBy("__id", "__hash").orderBy("__id")
     once = keyed.withColumn("_n", F.row_number().over(one)).where("_n = 1")
     return once.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")).select(*docs.columns)

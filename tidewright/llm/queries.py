@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import mixing, packing, simhash
+from tidewright.llm import lang_id, line_dedup, mixing, packing, simhash
 from tidewright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def line_dedup_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), min_words=50).select("doc_id", "lines_removed", "text")
+
+
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=(1.0, 2.0, 3.0), cap=3.0)
     return mixed.select(
@@ -23,15 +27,32 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), capacity=2048)
 
 
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = lang_id.identify(docs, lang_id.train(docs), declared_col="lang", host_col="source")
+    return found.select("doc_id", "language", F.round("posterior", 6).alias("posterior"), "text_language", "accepted")
+
+
+def page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of raw pages: declared by the markup, host and suffix from the address."""
+    tag = F.regexp_extract("html", r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", 1)
+    shown = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", tag.alias("declared"), shown.alias("text"))
+    model = lang_id.train(table(spark, sf_dir, "documents"))
+    found = lang_id.identify(pages, model, "page_id", declared_col="declared", host_col=None, url_col="url")
+    return found.select("page_id", "language", F.round("posterior", 6).alias("posterior"), "text_language", "accepted")
+
+
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return near.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": line_dedup_,
     "op3_source_mix": source_mix,
     "op4_best_fit_packing": best_fit_packing,
+    "op9_language_id": language_id,
+    "page_language": page_language,
     "op10_simhash_near_dedup": simhash_near_dedup,
 }
-#: DuckDB SQL of those queries that SQL can express.
-ORACLE: dict[str, str] = {}

@@ -48,14 +48,14 @@ def simhash(data: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(id, _hash, fp) of every row; fp is the fingerprint as a signed long, 0 without words."""
-    schema = T.StructType([docs.schema[id_col], T.StructField("_hash", T.LongType()), T.StructField("fp", T.LongType())])
+    """(id, __hash, fp) of every row; fp is the fingerprint as a signed long, 0 without words."""
+    schema = T.StructType([docs.schema[id_col], T.StructField("__hash", T.LongType()), T.StructField("fp", T.LongType())])
 
     def work(rows: list[tuple]) -> Iterator[tuple]:
         for key, hashed, data in rows:
             yield key, hashed, (simhash(data, shingle) ^ (1 << 63)) - (1 << 63)
 
-    return in_batches(docs, [F.col(id_col), row_keys(docs, id_col)["_hash"], text_bytes(text_col)], work, schema)
+    return in_batches(docs, [F.col(id_col), row_keys(docs, id_col)["__hash"], text_bytes(text_col)], work, schema)
 
 
 def links(classes: DataFrame, max_bits: int = 2) -> DataFrame:
@@ -77,7 +77,7 @@ def links(classes: DataFrame, max_bits: int = 2) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2
 ) -> DataFrame:
-    """(id, _hash, fp, component_id) of every row, ``component_id`` the least id reachable.
+    """(id, __hash, fp, component_id) of every row, ``component_id`` the least id reachable.
 
     Ids that are NULL are passed over; a component of such rows alone has a NULL id.  A NULL
     text is empty; texts without words have fingerprint 0 and link like any other.  Rows that
@@ -90,7 +90,7 @@ def near_duplicates(
     rooted = stored(rooted, "rooted")
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labels = rooted.join(named, "root").select("fp", "component_id")
-    return prints.join(labels, "fp").select(id_col, "_hash", "fp", "component_id")
+    return prints.join(labels, "fp").select(id_col, "__hash", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
@@ -99,10 +99,10 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Of rows equal in every column one stays.  All columns are kept as they are.
     """
     near = near_duplicates(docs, id_col, text_col, **options)
-    first = F.min(F.struct(F.col(id_col).isNull().alias("n"), F.coalesce(F.col(id_col), F.lit(0)).alias("i"), F.col("_hash").alias("h")))
+    first = F.min(F.struct(F.col(id_col).isNull().alias("n"), F.coalesce(F.col(id_col), F.lit(0)).alias("i"), F.col("__hash").alias("h")))
     kept = (
         near.groupBy(F.coalesce("component_id", "fp"), F.col("component_id").isNull()).agg(first.alias("k"))
-        .select(F.col("k.i").alias("_id"), F.col("k.h").alias("_hash"))
+        .select(F.col("k.i").alias("__id"), F.col("k.h").alias("__hash"))
     )
-    chosen = docs.withColumns(row_keys(docs, id_col)).join(kept, ["_id", "_hash"], "left_semi")
-    return chosen.dropDuplicates(["_id", "_hash"]).select(*docs.columns)
+    chosen = docs.withColumns(row_keys(docs, id_col)).join(kept, ["__id", "__hash"], "left_semi")
+    return chosen.dropDuplicates(["__id", "__hash"]).select(*docs.columns)
