@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import lang_id, line_dedup, mixing, packing, simhash
+from tidewright.llm import ann, lang_id, line_dedup, mixing, packing, simhash
 from tidewright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,14 @@ def line_dedup_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), min_words=50).select("doc_id", "lines_removed", "text")
 
 
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    index = ann.build(vectors, "vec_id", "embedding", keep=6)
+    if index is None:
+        return spark.sql("select 0L query_id, 0 rank, 0L vec_id, 0d score where false")
+    return ann.search(index, vectors.where("vec_id % 50 = 0"), "vec_id", "embedding", k=5)
+
+
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=(1.0, 2.0, 3.0), cap=3.0)
     return mixed.select(
@@ -50,6 +58,7 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": line_dedup_,
+    "op2_multi_index": nearest_neighbours,
     "op3_source_mix": source_mix,
     "op4_best_fit_packing": best_fit_packing,
     "op9_language_id": language_id,
