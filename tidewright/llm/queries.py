@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import ann, lang_id, line_dedup, mixing, packing, simhash
+from tidewright.llm import ann, lang_id, line_dedup, mixing, packing, secrets, sharding, simhash
 from tidewright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,24 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), capacity=2048)
 
 
+def extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = sharding.shard(table(spark, sf_dir, "documents"), limit=sharding.LIMIT)
+    return sharded.select("doc_id", "bytes", "shard", "page", F.length("shard").cast("long").alias("depth"))
+
+
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"), repo_col="doc_id", owner_col="source")
+    kinds = F.array(*[F.lit(k) for k in secrets.KINDS])
+    base = F.filter("secrets", lambda s: s.kind < secrets.BASE)
+    said = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", F.get(kinds, s.kind), s.start, s.end)), ",")
+    count = lambda k: F.size(F.filter("secrets", lambda s: s.kind == k)).cast("long")
+    live = F.size(F.filter("secrets", lambda s: s.live)).cast("long")
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{secrets.KINDS[k]}") for k in range(secrets.BASE)], F.sha2(said(base), 256).alias("base_sha256"),
+        said(F.col("secrets")).alias("spans"), live.alias("n_live"), (F.size("secrets") - live).alias("n_example"))
+
+
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = lang_id.identify(docs, lang_id.train(docs), declared_col="lang", host_col="source")
@@ -61,6 +79,8 @@ QUERIES: dict[str, Query] = {
     "op2_multi_index": nearest_neighbours,
     "op3_source_mix": source_mix,
     "op4_best_fit_packing": best_fit_packing,
+    "op6_extendible_shards": extendible_shards,
+    "op8_secret_scan": secret_scan,
     "op9_language_id": language_id,
     "page_language": page_language,
     "op10_simhash_near_dedup": simhash_near_dedup,

@@ -31,6 +31,23 @@ SELECT doc_id, coalesce(n, 0) AS lines_removed, CASE WHEN d.text IS NOT NULL THE
 FROM documents d LEFT JOIN kept USING (doc_id)
 """
 
+#: Shortest prefix of 60 bits of the MD5 of the id whose texts have at most 1 MiB, or that is one document.
+SHARDS = """
+WITH d AS (
+  SELECT doc_id, coalesce(strlen(text), 0) AS bytes,
+    array_to_string([substr('0000000100100011010001010110011110001001101010111100110111101111',
+      4 * (instr('0123456789abcdef', c) - 1)::INT + 1, 4) FOR c IN string_split(substr(md5(doc_id::VARCHAR), 1, 15), '')], '') AS bits
+  FROM documents
+), p AS (
+  SELECT doc_id, bytes, substr(bits, 1, n) AS shard, n FROM d, (SELECT unnest(range(61))::INT AS n)
+), fit AS (
+  SELECT shard, n FROM p GROUP BY shard, n HAVING sum(bytes) <= 1048576 OR count(*) = 1
+)
+SELECT doc_id, any_value(bytes)::BIGINT AS bytes, min_by(shard, n) AS shard, 0::BIGINT AS page, min(n)::BIGINT AS depth
+FROM p JOIN fit USING (shard, n) GROUP BY doc_id
+"""
+
 ORACLE = {
     "op1_line_dedup": LINE_DEDUP,
+    "op6_extendible_shards": SHARDS,
 }
