@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import ann, lang_id, line_dedup, mixing, packing, secrets, sharding, simhash
+from tidewright.llm import ann, lang_id, line_dedup, mixing, packing, secrets, sharding, simhash, syncmers
 from tidewright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,14 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), capacity=2048)
 
 
+def syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = syncmers.edited(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), syncmers.shown(F.col("sketch")).alias("fingerprint"),
+        syncmers.shown(F.col("edited_sketch")).alias("edited_fingerprint"), syncmers.likeness("sketch", "edited_sketch").alias("near_edited"),
+        syncmers.likeness("sketch", "next_sketch").alias("near_next"))
+
+
 def extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = sharding.shard(table(spark, sf_dir, "documents"), limit=sharding.LIMIT)
     return sharded.select("doc_id", "bytes", "shard", "page", F.length("shard").cast("long").alias("depth"))
@@ -79,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op2_multi_index": nearest_neighbours,
     "op3_source_mix": source_mix,
     "op4_best_fit_packing": best_fit_packing,
+    "op5_syncmer_fingerprints": syncmer_fingerprints,
     "op6_extendible_shards": extendible_shards,
     "op8_secret_scan": secret_scan,
     "op9_language_id": language_id,
