@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import ann, lang_id, line_dedup, mixing, packing, secrets, sharding, simhash, syncmers
+from tidewright.llm import ann, lang_id, line_dedup, mixing, packing, pii, secrets, sharding, simhash, syncmers
 from tidewright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,10 @@ def extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded.select("doc_id", "bytes", "shard", "page", F.length("shard").cast("long").alias("depth"))
 
 
+def pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.with_surrogates(table(spark, sf_dir, "documents"), key="surrogate key of the query").select("doc_id", "n_entities", "text")
+
+
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"), repo_col="doc_id", owner_col="source")
     kinds = F.array(*[F.lit(k) for k in secrets.KINDS])
@@ -89,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op4_best_fit_packing": best_fit_packing,
     "op5_syncmer_fingerprints": syncmer_fingerprints,
     "op6_extendible_shards": extendible_shards,
+    "op7_pii_surrogates": pii_surrogates,
     "op8_secret_scan": secret_scan,
     "op9_language_id": language_id,
     "page_language": page_language,
