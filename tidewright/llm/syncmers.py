@@ -108,7 +108,9 @@ def edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     links = predecessors(rows.select("__none", "__id", "__hash", "n_chars"))
     own = with_anchors(rows.drop("__none"), F.col("_text"), "_anchors").withColumn("sketch", sketch("_anchors")).drop("_anchors")
     placed = own.join(links, ["__id", "__hash"])
-    once = placed.withColumn("_n", F.row_number().over(Window.partitionBy("__id", "__hash").orderBy("prev_id"))).where("_n = 1")
+    # ordered by all that ``changed`` reads, so that both ask for the same columns and share the shuffle of the texts
+    first = Window.partitionBy("__id", "__hash").orderBy("prev_id", id_col, "n_chars")
+    once = placed.withColumn("_n", F.row_number().over(first)).where("_n = 1")
     heads = once.select(
         F.col("prev_id").alias("__id"), F.col("prev_hash").alias("__hash"), F.col("sketch").alias("next_sketch"),
         F.substring(F.col("_text"), F.lit(1), F.floor(F.col("prev_chars") / 3).cast("int")).alias("_head"))
