@@ -1,5 +1,7 @@
 import json
+import os
 import shutil
+import time
 from datetime import datetime
 
 import pytest
@@ -116,15 +118,57 @@ def test_landing_adds_each_time_stamp_once(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in plan
 
 
-def test_stream_lands_only_new_files(spark, tmp_path):
-    root, landed, mark = tmp_path / "raw", str(tmp_path / "landed"), str(tmp_path / "mark")
+def landing(spark, root, tmp_path, instrument="metbk"):
+    paths = [str(tmp_path / f"{name}_{instrument}") for name in ("landed", "seen", "rejected")]
+    return lambda: land_new_files(spark, str(root), instrument, stations(spark), *paths), *paths
+
+
+def test_lands_only_new_files(spark, tmp_path):
+    root = tmp_path / "raw"
+    call, landed, _, _ = landing(spark, root, tmp_path)
     put(folder(root), "1.json", {"time": [BASE], "air_temperature": [1.0]})
-    args = (spark, str(root), "metbk", stations(spark), landed, mark)
-    land_new_files(*args)
+    assert call() == 1
     put(folder(root), "2.json", {"time": [BASE, BASE + 60], "air_temperature": [5.0, 2.0]})
-    land_new_files(*args)
-    land_new_files(*args)
+    assert [call(), call()] == [1, 0]
     assert [r.air_temperature for r in read_landed(spark, landed).orderBy("time").collect()] == [1.0, 2.0]
     shutil.copy(folder(root) / "2.json", folder(root) / "3.json")
-    land_new_files(*args)
+    assert call() == 1
     assert read_landed(spark, landed).count() == 2
+
+
+def test_old_modification_times_land(spark, tmp_path):
+    root = tmp_path / "raw"
+    call, landed, _, _ = landing(spark, root, tmp_path)
+    put(folder(root), "1.json", {"time": [BASE], "air_temperature": [1.0]})
+    call()
+    other = folder(root, mooring="ce04ossm", deployment="D00021")
+    put(folder(root), "0 [old] {x}.json", {"time": [BASE - 3600], "air_temperature": [2.0]})
+    put(other, "1.json", {"time": [BASE], "air_temperature": [3.0]})
+    for days, file in ((30, folder(root) / "0 [old] {x}.json"), (400, other / "1.json")):
+        os.utime(file, (time.time() - days * 86400,) * 2)
+    assert [call(), call()] == [2, 0]
+    assert sorted(r.air_temperature for r in read_landed(spark, landed).collect()) == [1.0, 2.0, 3.0]
+
+
+def test_rejected_files_are_recorded(spark, tmp_path):
+    root = tmp_path / "raw"
+    call, landed, _, rejected = landing(spark, root, tmp_path)
+    put(folder(root), "1.json", {"time": [BASE], "air_temperature": [1.0]})
+    put(folder(root), "corrupt.json", '{"time": [1,')
+    put(folder(root), "empty.json", "{}")
+    put(folder(root), "zero.json", "")
+    put(folder(root), "short.json", {"time": [BASE + 60, BASE + 120], "air_temperature": [2.0]})
+    put(folder(root, mooring="xx99zzzz"), "1.json", {"time": [BASE]})
+    call()
+    got = sorted((r.file_path[r.file_path.index("/raw/") + 5:].replace("/D00020/buoy/metbk", ""), r.reason)
+                 for r in spark.read.parquet(rejected).collect())
+    assert got == [("ce02shsm/corrupt.json", "corrupt"), ("ce02shsm/empty.json", "empty"),
+                   ("ce02shsm/short.json", "short column air_temperature"), ("xx99zzzz/1.json", "unknown mooring")]
+    assert read_landed(spark, landed).count() == 3
+    put(folder(root), "zero.json", {"time": [BASE + 180]})  # zero bytes so far
+    assert call() == 1 and read_landed(spark, landed).count() == 4
+
+
+def test_numbers_written_as_strings(spark, tmp_path):
+    put(folder(tmp_path), "a.json", {"time": [str(BASE)], "air_temperature": ["1.5"]})
+    assert [r["air_temperature"] for r in load(spark, tmp_path)] == [1.5]

@@ -103,9 +103,11 @@ def _salinity_ctes(source: str, cond: str, temp: str, pres: str, out: str) -> st
 {out} AS (SELECT * EXCLUDE (t68, r, ft, rt, x, sp, sj), CASE WHEN sj >= 0 THEN sj END AS salinity FROM {out}_e)"""
 
 
-def _dir(u: str, v: str) -> str:
+def _dir(u: str, v: str, scale: str = "0") -> str:
+    """Direction a vector comes from; 180 where it is at most 1e-9 of its scale long."""
     d = f"degrees(atan2(-({u}), -({v})))"
-    return f"CASE WHEN {d} < 0 THEN {d} + 360 ELSE {d} END"
+    calm = f"sqrt(({u}) * ({u}) + ({v}) * ({v})) <= 1e-9::DOUBLE * ({scale})"
+    return f"CASE WHEN {calm} THEN 180 WHEN {d} < 0 THEN {d} + 360 ELSE {d} END"
 
 
 RUN_CTES = f"""
@@ -156,7 +158,7 @@ wave_bins AS (SELECT site, bin AS time, avg(significant_wave_height) AS sig_wave
                      avg(wu * ca + wv * sa) AS wmu, avg(wv * ca - wu * sa) AS wmv
               FROM wave_run WHERE bin >= bin_start AND bin < grid_end GROUP BY site, bin),
 joined AS (SELECT coalesce(m.site, w.site) AS site, coalesce(m.time, w.time) AS time, m.* EXCLUDE (site, time), w.* EXCLUDE (site, time),
-                  {_dir('mu', 'mv')} AS wind_dir, {_dir('wmu', 'wmv')} AS wave_dir
+                  {_dir('mu', 'mv', 'wind_speed')} AS wind_dir, {_dir('wmu', 'wmv', '1')} AS wave_dir
            FROM met_bins m FULL JOIN wave_bins w ON m.site = w.site AND m.time = w.time),
 binned AS (SELECT * FROM spine LEFT JOIN joined USING (site, time)),
 checked AS (SELECT site, time, rain_rate, {", ".join(f"CASE WHEN {c} >= {lo} AND {c} <= {hi} THEN {c} END AS {c}" for c, (lo, hi) in QC_BOUNDS.items())}
@@ -338,10 +340,30 @@ ORACLE: dict[str, str] = {
         True, [BIN_CTES, NAMED_CTE]
     ),
     "stream_bins": _run(
-        f"SELECT site, time, {_round(_STREAM_VALUES)} FROM closed", False,
+        f"""SELECT site, time, {", ".join(
+            f"round(CASE WHEN {c} >= {QC_BOUNDS[c][0]} AND {c} <= {QC_BOUNDS[c][1]} THEN {c} END, {DIGITS}) AS {c}" for c in _STREAM_VALUES
+        )} FROM closed""", False,
         [BIN_CTES.replace(" WHERE bin >= bin_start AND bin < grid_end", ""),
          """closed AS (SELECT * FROM joined WHERE time + INTERVAL 10 MINUTE <= (
               SELECT greatest((SELECT max(time) + INTERVAL 5 MINUTE FROM met), (SELECT max(time) - INTERVAL 10 MINUTE FROM wave))
             ) - INTERVAL 1 HOUR)"""]
     ),
+    "stream_bins_copies": _run(
+        f"""SELECT site, time, {", ".join(
+            f"round(CASE WHEN {c} >= {QC_BOUNDS[c][0]} AND {c} <= {QC_BOUNDS[c][1]} THEN {c} END, {DIGITS}) AS {c}" for c in _STREAM_VALUES
+        )} FROM closed""", False,
+        [BIN_CTES.replace(" WHERE bin >= bin_start AND bin < grid_end", ""),
+         """closed AS (SELECT * FROM joined WHERE time + INTERVAL 10 MINUTE <= (
+              SELECT greatest((SELECT max(time) + INTERVAL 5 MINUTE FROM met), (SELECT max(time) - INTERVAL 10 MINUTE FROM wave))
+            ) - INTERVAL 1 HOUR)"""]
+    ),
+    "cleared_bounds": _source(
+        """SELECT site, deployment, bin_start, bin_end,
+             bin_start + to_minutes(10 * (datediff('microsecond', bin_start, bin_end) // 600000000)) AS grid_end
+           FROM (SELECT site, CASE WHEN event_id % 2 = 0 THEN 'D00001' ELSE 'D00002' END AS deployment, date_trunc('hour', max(time)) AS bin_end,
+                   CASE WHEN site IN ('CE02', 'CE07') AND min(event_id % 2) = 1 THEN time_bucket(INTERVAL 10 MINUTE, min(time) + INTERVAL 1 HOUR)
+                        ELSE min(time) + INTERVAL 3 HOUR END AS bin_start
+                 FROM raw_met GROUP BY site, event_id % 2)
+           WHERE bin_end > bin_start AND datediff('microsecond', bin_start, bin_end) >= 600000000"""
+    ),
 }

@@ -17,12 +17,13 @@ from tidewright.model import (
     BINNED_FIELDS, DECLINATION_SCHEMA, KEYS, MET_FIELDS, MET_SHIFT_MINUTES, PROGRESS_SCHEMA, WAVE_FIELDS,
     WAVE_SHIFT_MINUTES, local_table, stations,
 )
-from tidewright.operators import bins
-from tidewright.operators.bounds import bin_spine, with_declination
+from tidewright.operators import bins, bounds
+from tidewright.operators.bounds import bin_spine, run_days, with_declination
 from tidewright.operators.bulletin import bulletin_files, file_names
 from tidewright.operators.dedup import first_per_key
 from tidewright.operators.qc import apply_qc
 from tidewright.operators.rain import rain_rate
+from tidewright.plans import progress as progress_log
 from tidewright.plans.run import observations, plan_runs
 from tidewright.session import materialize, scratch_path
 from tidewright.sinks.text_files import write_text_files
@@ -70,8 +71,14 @@ def resumed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_runs(met, wave, stations(spark), declinations(spark), progress(spark))
 
 
-def binned(spark: SparkSession, sf_dir: str, runs: DataFrame) -> DataFrame:
-    return bins.bin_observations(events.met_samples(spark, sf_dir), events.wave_samples(spark, sf_dir), runs)
+def met_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples unique per time stamp, stored: means and rain both read them, and each would de-duplicate anew."""
+    return materialize(events.met_samples(spark, sf_dir), "met")
+
+
+def binned(spark: SparkSession, sf_dir: str, runs: DataFrame, rain: bool = True) -> DataFrame:
+    met = met_unique(spark, sf_dir) if rain else events.met_samples(spark, sf_dir)
+    return bins.bin_observations(met, events.wave_samples(spark, sf_dir), runs, rain)
 
 
 # ---- the whole run ---------------------------------------------------------------
@@ -81,7 +88,7 @@ def binned(spark: SparkSession, sf_dir: str, runs: DataFrame) -> DataFrame:
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality-checked bins of all stations since their last run, with file names."""
     runs = materialize(resumed_runs(spark, sf_dir), "runs")
-    met, wave = events.met_samples(spark, sf_dir), events.wave_samples(spark, sf_dir)
+    met, wave = met_unique(spark, sf_dir), events.wave_samples(spark, sf_dir)
     named = file_names(observations(met, wave, runs), runs, as_of())
     return rounded(named.select("site", "station_id", "file_name", "time", *BINNED_FIELDS), BINNED_FIELDS)
 
@@ -309,7 +316,7 @@ def rain_rate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("bin_spine")
 def bin_spine_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bin_spine(resumed_runs(spark, sf_dir)).select("site", "time")
+    return bin_spine(materialize(resumed_runs(spark, sf_dir), "runs")).select("site", "time")
 
 
 def _met_rows(spark: SparkSession, sf_dir: str, runs: DataFrame) -> DataFrame:
@@ -343,7 +350,7 @@ def met_wave_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vector_mean_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Directions of the mean vectors of each bin."""
     runs = materialize(fresh_runs(spark, sf_dir), "runs")
-    values = ["wind_u", "wind_v", "wave_u", "wave_v"]
+    values = ["wind_speed", "wind_u", "wind_v", "wave_u", "wave_v"]
     both = bins.bin_means([_met_rows(spark, sf_dir, runs), _wave_rows(spark, sf_dir, runs)], values)
     dirs = bins.recover_directions(both).select("site", "time", "wind_dir", "wave_dir")
     return rounded(dirs, ["wind_dir", "wave_dir"])
@@ -390,7 +397,7 @@ def apply_qc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _named(spark: SparkSession, sf_dir: str, runs: DataFrame) -> DataFrame:
-    return file_names(apply_qc(binned(spark, sf_dir, runs)), runs, as_of())
+    return file_names(apply_qc(binned(spark, sf_dir, runs, rain=False)), runs, as_of())
 
 
 @query("messages")
@@ -403,7 +410,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("bulletin_header")
 def bulletin_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header of each station's and day's file."""
-    days = bin_spine(fresh_runs(spark, sf_dir)).groupBy("site", F.to_date("time").alias("day"))
+    days = bin_spine(materialize(fresh_runs(spark, sf_dir), "runs")).groupBy("site", F.to_date("time").alias("day"))
     last = days.agg(F.max("time").alias("last_time"))
     return last.select("site", "day", text.bulletin_header(F.col("last_time")).alias("header"))
 
@@ -433,7 +440,7 @@ def daily_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bulletin_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text of every file of a resumed run."""
     runs = materialize(resumed_runs(spark, sf_dir), "runs")
-    return bulletin_files(_named(spark, sf_dir, runs)).drop("deployment")
+    return bulletin_files(_named(spark, sf_dir, runs), run_days(runs)).drop("deployment")
 
 
 # ---- streaming -----------------------------------------------------------------------------
@@ -447,3 +454,29 @@ def stream_bins_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     met, wave = events.as_met(stream), events.as_wave(stream)
     closed = collect_available(stream_bins(met, wave, runs)).drop("deployment")
     return rounded(closed, [f for f in BINNED_FIELDS if f != "rain_rate"])
+
+
+@query("stream_bins_copies")
+def stream_bins_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of a stream that holds every tenth event twice."""
+    runs = materialize(fresh_runs(spark, sf_dir), "runs")
+    stream = events.event_stream(spark, sf_dir)
+    twice = F.when(F.col("event_id") % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    copied = stream.withColumn("copy", F.explode(twice)).drop("copy")
+    closed = collect_available(stream_bins(events.as_met(copied), events.as_wave(copied), runs)).drop("deployment")
+    return rounded(closed, [f for f in BINNED_FIELDS if f != "rain_rate"])
+
+
+@query("cleared_bounds")
+def cleared_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each deployment resumes after one of two deployments of a site was cleared; half the events of a site are in each."""
+    deployment = F.when(F.col("event_id") % 2 == 0, "D00001").otherwise("D00002")
+    met = events.raw_met(spark, sf_dir).withColumn("deployment", deployment)
+    extent = bounds.data_bounds(met)
+    run_id = lambda n: F.lit(n).cast("bigint").alias("run_id")
+    done = extent.select(*KEYS, (F.col("earliest") + F.expr("INTERVAL 3 HOURS")).alias("last_bin_end"), run_id(1), F.lit(False).alias("cleared"))
+    path = scratch_path(spark, "progress")
+    done.write.parquet(path)
+    progress_log.clear_progress(spark, path, 2, sites=["CE02", "CE07"], deployments=["D00002"])
+    runs = bounds.run_bounds(extent, progress_log.latest_progress(progress_log.read_progress(spark, path)))
+    return runs.select(*KEYS, "bin_start", "bin_end", "grid_end")

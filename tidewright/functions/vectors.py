@@ -21,13 +21,20 @@ def wind_speed(u: Column, v: Column) -> Column:
     return F.sqrt(u * u + v * v)
 
 
-def add_direction_from(df: DataFrame, u: str, v: str, name: str) -> DataFrame:
+#: Vectors shorter than this share of their scale have cancelled: what is left is rounding noise.
+CALM = 1e-9
+
+
+def add_direction_from(df: DataFrame, u: str, v: str, name: str, scale: Column | None = None) -> DataFrame:
     """Add the direction a flow comes from, in degrees clockwise from north, 0 to 360.
 
-    Calm (both components zero) reads 180.  Spark's ``atan2`` drops the sign of
-    zero, so that case is written out.
+    Calm reads 180: both components zero, or, for mean vectors, a length of at most ``CALM`` times
+    ``scale``, the mean length of what was averaged.  Without that rule the direction of vectors that cancel
+    would depend on the order of summation.
     """
     calm = (F.col(u) == 0) & (F.col(v) == 0)
+    if scale is not None:
+        calm |= F.sqrt(F.col(u) * F.col(u) + F.col(v) * F.col(v)) <= CALM * scale
     deg = F.when(calm, F.lit(180.0)).otherwise(F.degrees(F.atan2(-F.col(u), -F.col(v))))
     return df.withColumn(name, deg).withColumn(name, F.col(name) + F.when(F.col(name) < 0, 360.0).otherwise(0.0))
 

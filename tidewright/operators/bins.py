@@ -102,9 +102,11 @@ def bin_means(parts: list[DataFrame], values: list[str]) -> DataFrame:
     return binned.select(*KEYS, (F.col("cell") + F.col("phase")).alias("time"), *values)
 
 
-def bin_observations(met: DataFrame, wave: DataFrame, bounds: DataFrame) -> DataFrame:
+def bin_observations(met: DataFrame, wave: DataFrame, bounds: DataFrame, rain: bool = True) -> DataFrame:
     """Bin both instruments over each deployment's run window.
 
+    Without ``rain`` its branch, which needs a shuffle of single samples, is left out and ``rain_rate`` with it.
+
     Samples must be unique per ``(site, deployment, time)`` and carry raw times
     (the instruments' shifts are applied here).  ``bounds`` comes from
     ``with_run_constants``.  Every bin of the window is present, empty ones NULL.
@@ -112,19 +114,16 @@ def bin_observations(met: DataFrame, wave: DataFrame, bounds: DataFrame) -> Data
     met_placed = place(met, bounds, MET_SHIFT_MINUTES)
     wave_placed = place(wave, bounds, WAVE_SHIFT_MINUTES)
     spine = bin_spine(bounds).withColumn("cell", F.col("time") - F.col("phase")).select(*GROUP)
-    binned = bin_means(
-        [
-            met_variables(met_placed.filter("inside")),
-            wave_variables(wave_placed.filter("inside")),
-            rain_by_cell(met_placed).filter("inside").drop("inside"),
-            spine,
-        ],
-        [*MET_MEANS, *WAVE_MEANS, "rain_rate"],
-    )
-    return recover_directions(binned).select(*KEYS, "time", *BINNED_FIELDS)
+    parts = [met_variables(met_placed.filter("inside")), wave_variables(wave_placed.filter("inside")), spine]
+    values = [*MET_MEANS, *WAVE_MEANS]
+    if rain:
+        parts.append(rain_by_cell(met_placed).filter("inside").drop("inside"))
+        values.append("rain_rate")
+    fields = [f for f in BINNED_FIELDS if rain or f != "rain_rate"]
+    return recover_directions(bin_means(parts, values)).select(*KEYS, "time", *fields)
 
 
 def recover_directions(binned: DataFrame) -> DataFrame:
-    """Directions from the averaged vectors; the vector means are dropped."""
-    wind = add_direction_from(binned, "wind_u", "wind_v", "wind_dir")
-    return add_direction_from(wind, "wave_u", "wave_v", "wave_dir").drop("wind_u", "wind_v", "wave_u", "wave_v")
+    """Directions from the averaged vectors, with the mean speed as their scale; the vector means are dropped."""
+    wind = add_direction_from(binned, "wind_u", "wind_v", "wind_dir", F.col("wind_speed"))
+    return add_direction_from(wind, "wave_u", "wave_v", "wave_dir", F.lit(1.0)).drop("wind_u", "wind_v", "wave_u", "wave_v")

@@ -56,11 +56,10 @@ def bin_grid(windows: DataFrame) -> DataFrame:
 def with_declination(df: DataFrame, declinations: DataFrame, date: Column) -> DataFrame:
     """Add ``alpha_deg`` for ``date`` from the declination dimension, joined by site.
 
-    The dimension has a few rows per station, hence one partition, and is broadcast
-    below Spark's size threshold.  Of several reference dates per site the last one not after
+    The dimension has a few rows per station and is broadcast below Spark's size threshold.  Of several reference dates per site the last one not after
     ``date`` counts, or the first one if all lie after it.
     """
-    dim = declinations.coalesce(1).groupBy("site").agg(
+    dim = declinations.groupBy("site").agg(
         F.sort_array(F.collect_list(F.struct("ref_date", "decl_deg", "rate_deg_per_year"))).alias("refs")
     )
     past = F.filter("refs", lambda r: r["ref_date"] <= date)
@@ -95,9 +94,25 @@ def with_run_constants(
     )
 
 
+#: Days of bins that one task of the spine makes (144 bins each).
+SPINE_DAYS = 5_000
+
+
+def run_days(bounds: DataFrame) -> int:
+    """Days that the runs of ``bounds`` touch, at most one too many each."""
+    days = F.date_diff(F.to_date("grid_end"), F.to_date("bin_start")) + 1
+    return bounds.agg(F.coalesce(F.sum(days), F.lit(0))).first()[0]
+
+
 def bin_spine(bounds: DataFrame) -> DataFrame:
-    """One row per bin of every run: left edges from ``bin_start`` to ``grid_end``."""
-    ten = F.expr(f"INTERVAL {BIN}")
-    return bounds.select(
-        *KEYS, "phase", F.explode(F.sequence("bin_start", F.col("grid_end") - ten, ten)).alias("time")
-    )
+    """One row per bin of every run: left edges from ``bin_start`` to ``grid_end``.
+
+    ``bounds`` should be a stored table, as its days are counted first: they are dealt out to tasks by key and
+    day, and become bins only there.
+    """
+    ten, day = F.expr(f"INTERVAL {BIN}"), F.expr("INTERVAL 1 DAY")
+    days = bounds.select(
+        *KEYS, "phase", "bin_start", "grid_end", F.explode(F.sequence("bin_start", F.col("grid_end") - ten, day)).alias("from"))
+    dealt = days.repartition(max(1, -(-run_days(bounds) // SPINE_DAYS)), *KEYS, "from")
+    last = F.least(F.col("from") + day, F.col("grid_end")) - ten
+    return dealt.select(*KEYS, "phase", F.explode(F.sequence("from", last, ten)).alias("time"))

@@ -30,13 +30,21 @@ def file_names(binned: DataFrame, runs: DataFrame, as_of: Column) -> DataFrame:
     return binned.join(run, KEYS).withColumn("file_name", name).drop("daily")
 
 
-def bulletin_files(named: DataFrame) -> DataFrame:
+#: Files that one task makes and writes.
+FILES_PER_TASK = 100
+
+
+def bulletin_files(named: DataFrame, n_files: int | None = None) -> DataFrame:
     """Text of each file: header, declaration, messages in time order.
 
+    ``n_files`` is about how many there are; it sets the number of tasks, which the few bytes of
+    the numbers would put far too low.
+
     Numbers are shuffled to their file before they become text, which is several
     times larger.  A file holds at most the 144 bins of a day.
     """
-    rows = named.repartition(*FILE_KEYS).withColumn(
+    tasks = [] if n_files is None else [max(1, -(-n_files // FILES_PER_TASK))]
+    rows = named.repartition(*tasks, *FILE_KEYS).withColumn(
         "message", text.message(F.col("station_id"), F.col("time"), F.col("sensor_depth_m"))
     )
     files = rows.groupBy(*FILE_KEYS).agg(

@@ -52,11 +52,20 @@ def save_progress(runs: DataFrame, path: str, run_id: int) -> None:
     )
 
 
-def clear_progress(spark: SparkSession, path: str, run_id: int, sites: list[str] | None = None) -> None:
-    """Forget what was processed, for all or some sites; nothing recorded is fine."""
+def clear_progress(
+    spark: SparkSession, path: str, run_id: int, sites: list[str] | None = None, deployments: list[str] | None = None,
+    only: DataFrame | None = None,
+) -> None:
+    """Forget what was processed, for all or some sites and deployments; nothing recorded is fine.
+
+    ``only`` is a table of the keys in question.
+    """
     keys = read_progress(spark, path).select(*KEYS).distinct()
-    if sites is not None:
-        keys = keys.filter(F.col("site").isin(sites))
+    for column, wanted in (("site", sites), ("deployment", deployments)):
+        if wanted is not None:
+            keys = keys.filter(F.col(column).isin(wanted))
+    if only is not None:
+        keys = keys.join(only.select(*KEYS).distinct(), KEYS, "left_semi")
     _append(
         keys.select(
             *KEYS,

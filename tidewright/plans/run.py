@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from tidewright.functions.text import ENCODING
 from tidewright.model import KEYS
 from tidewright.operators.bins import bin_observations
-from tidewright.operators.bounds import data_bounds, run_bounds, with_run_constants
+from tidewright.operators.bounds import run_bounds, run_days, with_run_constants
 from tidewright.operators.bulletin import bulletin_files, file_names
 from tidewright.operators.qc import apply_qc
 from tidewright.plans.progress import clear_progress, latest_progress, read_progress, save_progress
 from tidewright.session import materialize
-from tidewright.sinks.text_files import write_text_files
+from tidewright.sinks.text_files import check_path, write_text_files
 from tidewright.sources.array_json import INSTRUMENTS, deduplicate, instrument_files, samples
 from tidewright.sources.landed import edge_slice, land, read_landed, window_slice
 from tidewright.streaming.landing import land_new_files
@@ -25,11 +25,15 @@ from tidewright.streaming.landing import land_new_files
 
 @dataclass(frozen=True)
 class RunResult:
-    """``runs``: what was processed, one row per deployment; ``observations``: its bins."""
+    """``runs``: what was processed, one row per deployment; ``observations``: its bins; ``files``: paths written.
+
+    ``files`` has the site, the deployment and the file, relative to the output folder.
+    """
 
     runs: DataFrame
     observations: DataFrame
     deployments: int
+    files: DataFrame
 
 
 def ntz(moment: datetime) -> Column:
@@ -51,7 +55,12 @@ def plan_runs(
 
     Copies of a time stamp make no difference here.
     """
-    both = data_bounds(met).join(wave.select(*KEYS).distinct(), KEYS, "left_semi")
+    # one aggregation: time stamps of waves count as a mark only
+    times = met.select(*KEYS, "time", F.lit(False).alias("waves")).union(
+        wave.select(*KEYS, F.lit(None).cast("timestamp_ntz"), F.lit(True)))
+    extent = times.groupBy(*KEYS).agg(
+        F.min("time").alias("earliest"), F.max("time").alias("latest"), F.bool_or("waves").alias("waves"))
+    both = extent.where("waves AND earliest IS NOT NULL").drop("waves")
     saved = None if progress is None else latest_progress(progress)
     return with_run_constants(run_bounds(both, saved), stations, declinations, alpha_date)
 
@@ -63,7 +72,7 @@ def observations(met: DataFrame, wave: DataFrame, runs: DataFrame) -> DataFrame:
 
 def bulletins(observed: DataFrame, runs: DataFrame, as_of: Column) -> DataFrame:
     """Bulletin text per file."""
-    return bulletin_files(file_names(observed, runs, as_of))
+    return bulletin_files(file_names(observed, runs, as_of), run_days(runs))
 
 
 def run(
@@ -78,22 +87,29 @@ def run(
     alpha_date: datetime | None = None,
     reprocess: bool = False,
     run_id: int | None = None,
+    sites: list[str] | None = None,
+    deployments: list[str] | None = None,
+    landed: bool = False,
 ) -> RunResult | None:
     """Write bulletins of all new bins and record the progress; None without new bins.
 
-    Samples may be any frames unique per time stamp; of the landed tables only the
-    dates in question are read.
+    ``sites`` and ``deployments`` limit the run, and what ``reprocess`` forgets: only deployments that have
+    samples in this run, at a station of ``stations``.  Samples may be any frames unique per time stamp; with
+    ``landed`` they are landed tables, of which only the dates in question are read.
     Progress is recorded after the files are written: a run that breaks off is
     repeated.  Files go to ``<out_path>/<site>/<deployment>/``.
     """
+    check_path(out_path)
     as_of = as_of or datetime.now(timezone.utc)
+    for column, wanted in (("site", sites), ("deployment", deployments)):
+        if wanted is not None:
+            met, wave = met.where(F.col(column).isin(wanted)), wave.where(F.col(column).isin(wanted))
     run_id = time.time_ns() // 1000 if run_id is None else run_id
     if reprocess:
-        clear_progress(spark, progress_path, run_id)
+        clear_progress(spark, progress_path, run_id, only=met.select(*KEYS).join(stations.select("site"), "site", "left_semi"))
         run_id += 1
     alpha = None if alpha_date is None else ntz(alpha_date)
     progress = read_progress(spark, progress_path)
-    landed = "date" in met.columns
     extent = edge_slice(met) if landed else met
     runs = materialize(plan_runs(extent, wave, stations, declinations, progress, alpha), "runs")
     counts = runs.agg(F.count("*").alias("n"), F.count("alpha_deg").alias("n_alpha")).first()
@@ -104,12 +120,11 @@ def run(
     if landed:
         met, wave = window_slice(met, runs), window_slice(wave, runs)
     observed = materialize(observations(met, wave, runs), "observations")
-    files = bulletins(observed, runs, ntz(as_of)).withColumn(
-        "file", F.concat_ws("/", "site", "deployment", "file_name")
-    )
-    write_text_files(files, out_path, encoding=ENCODING)
+    path = F.concat_ws("/", "site", "deployment", "file_name").alias("file")
+    write_text_files(bulletins(observed, runs, ntz(as_of)).select("*", path), out_path, encoding=ENCODING)
     save_progress(runs, progress_path, run_id)
-    return RunResult(runs, observed, counts["n"])
+    written = file_names(observed, runs, ntz(as_of)).select(*KEYS, path).distinct()
+    return RunResult(runs, observed, counts["n"], written)
 
 
 def land_directory(spark: SparkSession, root: str, stations: DataFrame, landed_path: str) -> dict[str, int]:
@@ -137,16 +152,17 @@ def run_directory(
 ) -> RunResult | None:
     """Land the files that are new under ``root``, then run on the landed samples.
 
-    Files landed by an earlier call are not parsed again.  An instrument without
+    Files landed by an earlier call are not parsed again; what is wrong with a file is recorded under
+    ``<landed_path>/rejected_<instrument>``.  An instrument without
     any landed sample raises ``FileNotFoundError``.
     """
     landed = {}
     for instrument in INSTRUMENTS:
         path = f"{landed_path}/{instrument}"
-        land_new_files(spark, root, instrument, stations, path, f"{landed_path}/seen_{instrument}")
+        land_new_files(spark, root, instrument, stations, path, f"{landed_path}/seen_{instrument}", f"{landed_path}/rejected_{instrument}")
         landed[instrument] = read_landed(spark, path)
         if landed[instrument] is None:
             raise FileNotFoundError(f"no readable {instrument} files under {root}")
     return run(
-        spark, landed["metbk"], landed["wavss"], stations, declinations, out_path, progress_path, **options
+        spark, landed["metbk"], landed["wavss"], stations, declinations, out_path, progress_path, landed=True, **options
     )

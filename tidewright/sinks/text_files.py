@@ -1,8 +1,9 @@
 """Sink that writes one text file per row, on the executors.
 
-Each row names a file relative to the target folder.  A file is written under a
-temporary name and moved into place, so a retried or doubled task leaves the same
-file.  Any file system known to Arrow can be the target.
+Each row names a file relative to the target folder.  On file systems a file is written under a
+temporary name and moved into place, so a retried or doubled task leaves the same file; the
+temporary folder of the job goes at its end, also when it fails.  On object stores a file appears only when
+it is complete, so it is written in place.  Any file system known to Arrow can be the target.
 """
 
 from __future__ import annotations
@@ -18,6 +19,18 @@ from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMes
 from pyspark.sql.types import Row, StructType
 
 FORMAT = "text_files"
+#: File systems, by Arrow's names, that show a file only when it is complete.
+OBJECT_STORES = ("s3", "gcs", "abfs")
+
+
+def check_path(path: str) -> None:
+    """Raise ``ValueError`` where Arrow knows no file system for ``path``, before anything is computed for it."""
+    from pyarrow import fs
+
+    try:
+        fs.FileSystem.from_uri(path)
+    except Exception as e:
+        raise ValueError(f"{path} is not a path that Arrow can write to (s3://, gs://, abfs://, hdfs://, file:// or absolute): {e}") from e
 
 
 @dataclass
@@ -44,27 +57,45 @@ class TextFileWriter(DataSourceWriter):
         self.path = options["path"].rstrip("/")
         self.encoding = options.get("encoding", "utf-8")
         self.allow_empty = options.get("allow_empty", "false").lower() == "true"
+        self.parts = f".parts-{uuid.uuid4().hex}"
 
     def write(self, rows: Iterator[Row]) -> Written:
         from pyarrow import fs
 
         store, base = fs.FileSystem.from_uri(self.path)
+        in_place = store.type_name in OBJECT_STORES
         made: set[str] = set()
         files = 0
         for row in rows:
             target = f"{base}/{row['file']}"
-            folder, name = target.rsplit("/", 1)
+            folder = target.rsplit("/", 1)[0]
             if folder not in made:
                 store.create_dir(folder, recursive=True)
                 made.add(folder)
-            part = f"{folder}/.{name}.{uuid.uuid4().hex}.part"
+            part = target if in_place else f"{base}/{self.parts}/{uuid.uuid4().hex}"
+            if not in_place and self.parts not in made:
+                store.create_dir(f"{base}/{self.parts}", recursive=True)
+                made.add(self.parts)
             with store.open_output_stream(part) as out:
                 out.write(row["content"].encode(self.encoding))
-            store.move(part, target)
+            if not in_place:
+                store.move(part, target)
             files += 1
         return Written(files)
 
+    def abort(self, messages: list[Written | None]) -> None:
+        self.clean()
+
+    def clean(self) -> None:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(self.path)
+        store.delete_dir_contents(f"{base}/{self.parts}", missing_dir_ok=True)
+        if store.get_file_info(f"{base}/{self.parts}").type != fs.FileType.NotFound:
+            store.delete_dir(f"{base}/{self.parts}")
+
     def commit(self, messages: list[Written | None]) -> None:
+        self.clean()
         if not self.allow_empty and not any(m.files for m in messages if m is not None):
             raise ValueError("no rows to write")
 

@@ -6,7 +6,7 @@ one scan unit; no schema is inferred and only the listed variables are parsed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,11 +37,12 @@ def read_files(
 ) -> DataFrame:
     """One row per file: a column of arrays per variable, absent ones NULL.
 
-    Files that are not valid JSON, or hold other than numbers in an array, keep
-    their text in ``_corrupt_record``.
+    Numbers may be written as strings.  Files that are not valid JSON, or hold other than numbers in
+    an array, have a text in ``_corrupt_record``.
     """
-    return (
-        spark.read.schema(file_schema(fields))
+    texts = T.StructType([*[T.StructField(f, T.ArrayType(T.StringType())) for f in fields], T.StructField(CORRUPT, T.StringType())])
+    raw = (
+        spark.read.schema(texts)
         .option("multiLine", True)
         .option("pathGlobFilter", glob)
         .option("mode", "PERMISSIVE")
@@ -49,12 +50,33 @@ def read_files(
         .json(paths)
         .select("*", F.col("_metadata.file_path").alias("file_path"))
     )
+    numbers = {f: F.transform(f, lambda x: x.try_cast("double")) for f in fields}
+    wrong = [F.exists(f, lambda x: x.isNotNull() & x.try_cast("double").isNull()) for f in fields]
+    told = F.coalesce(F.col(CORRUPT), F.when(F.greatest(*[F.coalesce(w, F.lit(False)) for w in wrong]), "an array holds text"))
+    return raw.withColumns({**numbers, CORRUPT: told})
+
+
+def longest(fields: list[str]) -> Column:
+    return F.greatest(*[F.coalesce(F.size(f), F.lit(0)) for f in fields])
+
+
+def rejects(files: DataFrame, fields: list[str], stations: DataFrame) -> DataFrame:
+    """(file_path, reason): each thing that keeps a file, or one of its columns, from being landed."""
+    n = longest(fields)
+    short = F.filter(
+        F.array(*[F.when(F.size(f) < n, F.lit(f"short column {f}")) for f in fields]), lambda r: r.isNotNull())
+    known = stations.select("mooring").distinct().withColumn("known", F.lit(True))
+    placed = files.withColumn("mooring", F.regexp_extract("file_path", PATH_KEYS, 1)).join(known, "mooring", "left")
+    reasons = (
+        F.when(F.col(CORRUPT).isNotNull(), F.array(F.lit("corrupt"))).when(n <= 0, F.array(F.lit("empty")))
+        .when(F.col("known").isNull(), F.array(F.lit("unknown mooring"))).otherwise(short)
+    )
+    return placed.select("file_path", F.explode(reasons).alias("reason"))
 
 
 def accepted_files(files: DataFrame, fields: list[str], watch: Observation | None = None) -> DataFrame:
     """Drop corrupt and empty files; count files seen and rejected in ``watch``."""
-    longest = F.greatest(*[F.coalesce(F.size(f), F.lit(0)) for f in fields])
-    counted = files.withColumn("n", longest).withColumn("corrupt", F.col(CORRUPT).isNotNull())
+    counted = files.withColumn("n", longest(fields)).withColumn("corrupt", F.col(CORRUPT).isNotNull())
     if watch is not None:
         counted = counted.observe(
             watch,

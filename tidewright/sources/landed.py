@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.model import KEYS
-from tidewright.session import materialize
+from tidewright.session import discard, materialize
 
 PARTITIONS = [*KEYS, "date"]
 
@@ -29,24 +29,26 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame | None:
 def land(samples: DataFrame, path: str) -> int:
     """Append the samples whose time stamp is not landed yet; returns the samples seen.
 
-    ``samples`` must be unique per time stamp.  A row landed earlier wins over a
+    Only the partitions of the batch itself are read for that.  ``samples`` must be unique per time stamp.  A row landed earlier wins over a
     later copy.  Repeating a call, also one that broke off, adds nothing twice.
     """
     new = materialize(samples.withColumn("date", F.to_date("time")), "landing")
-    span = new.agg(F.count("*").alias("n"), F.min("date").alias("first"), F.max("date").alias("last")).first()
+    n = new.count()
     landed = read_landed(samples.sparkSession, path)
-    if landed is not None and span["n"]:
-        seen = landed.filter(F.col("date").between(span["first"], span["last"])).select(*PARTITIONS, "time")
-        new = new.join(seen, [*PARTITIONS, "time"], "left_anti")
-    if span["n"]:
+    if n:
+        fresh = new
+        if landed is not None:
+            seen = at_days(landed, new.select(*PARTITIONS).distinct()).select(*PARTITIONS, "time")
+            fresh = new.join(seen, [*PARTITIONS, "time"], "left_anti")
         (
-            new.hint("rebalance", *PARTITIONS)
+            fresh.hint("rebalance", *PARTITIONS)
             .sortWithinPartitions(*PARTITIONS, "time")
             .write.mode("append")
             .partitionBy(*PARTITIONS)
             .parquet(path)
         )
-    return span["n"]
+    discard(new)
+    return n
 
 
 def landed_days(landed: DataFrame) -> DataFrame:

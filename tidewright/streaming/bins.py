@@ -2,7 +2,7 @@
 
 Bins close when the watermark, one hour behind the newest sample, passes them;
 samples later than that are lost, empty bins do not appear, and rain, which needs
-the previous sample, is left to the batch run.
+the previous sample, is left to the batch run.  Of copies of a time stamp the first to arrive wins.
 """
 
 from __future__ import annotations
@@ -15,36 +15,38 @@ from tidewright.model import BIN, BINNED_FIELDS, KEYS, MET_SHIFT_MINUTES, WAVE_S
 from tidewright.operators.bins import (
     MET_MEANS, WAVE_MEANS, mean_of, met_variables, recover_directions, wave_variables,
 )
+from tidewright.operators.qc import apply_qc
 from tidewright.session import scratch_path
 
 DELAY = "1 hour"
 
 
 def stream_bins(met: DataFrame, wave: DataFrame, constants: DataFrame) -> DataFrame:
-    """Clock-aligned bins of two sample streams.
+    """Clock-aligned, quality-checked bins of two sample streams.
 
     ``constants`` is a stored table with ``cos_a``, ``sin_a`` and
     ``pressure_dbar`` per deployment.
     """
     fixed = constants.select(*KEYS, "cos_a", "sin_a", "pressure_dbar")
-    keep = [*KEYS, "shifted"]
+    keep = [*KEYS, "shifted", "instrument"]
 
-    def shifted(samples: DataFrame, shift: int) -> DataFrame:
+    def shifted(samples: DataFrame, shift: int, instrument: str) -> DataFrame:
         moved = F.col("time") + F.expr(f"INTERVAL {shift} MINUTES")
-        return samples.join(fixed, KEYS).withColumn("shifted", ntz_to_instant(moved))
+        return samples.join(fixed, KEYS).withColumns({"shifted": ntz_to_instant(moved), "instrument": F.lit(instrument)})
 
-    rows = met_variables(shifted(met, MET_SHIFT_MINUTES), keep).unionByName(
-        wave_variables(shifted(wave, WAVE_SHIFT_MINUTES), keep), allowMissingColumns=True
+    both = met_variables(shifted(met, MET_SHIFT_MINUTES, "met"), keep).unionByName(
+        wave_variables(shifted(wave, WAVE_SHIFT_MINUTES, "wave"), keep), allowMissingColumns=True
     )
+    # one watermark over both: two would wait for the slower instrument
+    rows = both.withWatermark("shifted", DELAY).dropDuplicatesWithinWatermark(keep)
     values = [*MET_MEANS, *WAVE_MEANS]
     binned = (
-        rows.withWatermark("shifted", DELAY)
-        .groupBy(*KEYS, F.window("shifted", BIN).alias("bin"))
+        rows.groupBy(*KEYS, F.window("shifted", BIN).alias("bin"))
         .agg(*[mean_of(c) for c in values])
         .select(*KEYS, instant_to_ntz(F.col("bin.start")).alias("time"), *values)
     )
     fields = [f for f in BINNED_FIELDS if f != "rain_rate"]
-    return recover_directions(binned).select(*KEYS, "time", *fields)
+    return apply_qc(recover_directions(binned).select(*KEYS, "time", *fields))
 
 
 def run_available(stream: DataFrame, out_path: str, checkpoint_path: str) -> None:

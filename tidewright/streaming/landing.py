@@ -1,40 +1,75 @@
-"""Landing as a stream: each trigger parses only the files it has not seen."""
+"""Landing of new files: a record of the paths landed so far decides what is new.
+
+Modification times play no part, so back-fills and restored archives land like any other file.
+"""
 
 from __future__ import annotations
 
+import math
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.model import KEYS
-from tidewright.sources.array_json import CORRUPT, INSTRUMENTS, ORIGIN, deduplicate, file_schema, samples
+from tidewright.session import discard, materialize
+from tidewright.sources.array_json import INSTRUMENTS, ORIGIN, deduplicate, read_files, rejects, samples
 from tidewright.sources.landed import land
 
+#: Files parsed at once; their paths, and no others, pass through the driver.
+FILES_PER_BLOCK = 5_000
+
+SEEN = "path string, length bigint"
+REJECTED = "file_path string, reason string"
+
+
+def listing(spark: SparkSession, paths: str, glob: str) -> DataFrame:
+    """(path, length) of every file there is; contents are not read.
+
+    Spark's scans pass over files of zero bytes: they count as not there until they hold something.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    try:
+        return files.load(paths).select("path", "length")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], SEEN)
+
+
+def recorded(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A record table; empty where nothing was written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
 
 def land_new_files(
-    spark: SparkSession, root: str, instrument: str, stations: DataFrame, landed_path: str, checkpoint_path: str
-) -> None:
-    """Land the files that arrived under ``root`` since the last call.
+    spark: SparkSession, root: str, instrument: str, stations: DataFrame, landed_path: str, seen_path: str, rejected_path: str
+) -> int:
+    """Land the files under ``root`` that no earlier call landed; returns their number.
 
-    A micro-batch repeated after a failure adds nothing twice.
+    New is a path, or a length of it, that is not in the record at ``seen_path``.  A block of files is recorded
+    after its samples and rejects are written: one that breaks off is repeated and adds no sample twice.
     """
     glob, fields = INSTRUMENTS[instrument]
-    files = (
-        spark.readStream.schema(file_schema(fields))
-        .option("multiLine", True)
-        .option("pathGlobFilter", glob)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(f"{root}/*/*/buoy/{instrument}")
-        .select("*", F.col("_metadata.file_path").alias("file_path"))
-    )
-
-    def land_batch(batch: DataFrame, _: int) -> None:
-        rows = deduplicate(samples(batch, fields, stations))
-        land(rows.select(*KEYS, "time", *ORIGIN, *fields[1:]), landed_path)
-
-    query = (
-        files.writeStream.foreachBatch(land_batch)
-        .option("checkpointLocation", checkpoint_path)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    there = listing(spark, f"{root}/*/*/buoy/{instrument}", glob)
+    new = materialize(there.join(recorded(spark, seen_path, SEEN), ["path", "length"], "left_anti"), "new-files")
+    n = new.count()
+    blocks = math.ceil(n / FILES_PER_BLOCK)
+    for block in range(blocks):
+        part = new.where(F.pmod(F.xxhash64("path"), F.lit(blocks)) == block)
+        paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", r.path) for r in part.select("path").collect()]
+        if paths:
+            files = materialize(read_files(spark, paths, glob, fields), "files")
+            rows = deduplicate(samples(files, fields, stations))
+            land(rows.select(*KEYS, "time", *ORIGIN, *fields[1:]), landed_path)
+            rejects(files, fields, stations).write.mode("append").parquet(rejected_path)
+            part.write.mode("append").parquet(seen_path)
+            discard(files)
+    discard(new)
+    return n
