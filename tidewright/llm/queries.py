@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import ann, lang_id, line_dedup, mixing, packing, pii, secrets, sharding, simhash, syncmers
+from tidewright.llm import ann, conversations, lang_id, line_dedup, mixing, packing, pii, secrets, sharding, simhash, syncmers
 from tidewright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,19 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations, repaired: counts of faults, cost, audit and a hash of what is left."""
+    talks = table(spark, sf_dir, "conversations")
+    got = conversations.repair(conversations.damage(talks))
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    empty = [F.lit(0).cast("long").alias(c) for c in numbers]
+    told = talks.select(F.col("conv_id").alias("conv"), *empty, F.lit("").alias("audit"), F.lit("").alias("sha256")).unionByName(
+        got.summary.withColumn("sha256", F.lit(""))).unionByName(conversations.repaired_hashes(got.rows).select(
+            "conv", *empty, F.lit("").alias("audit"), "sha256"))
+    full = told.groupBy(F.col("conv").alias("conv_id")).agg(*[F.max(c).alias(c) for c in [*numbers, "audit", "sha256"]])
+    return full.select("*", F.when(F.col("sha256") == "", F.sha2(F.lit(""), 256)).otherwise(F.col("sha256")).alias("repaired_sha256")).drop("sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": line_dedup_,
     "op2_multi_index": nearest_neighbours,
@@ -98,4 +111,5 @@ QUERIES: dict[str, Query] = {
     "op9_language_id": language_id,
     "page_language": page_language,
     "op10_simhash_near_dedup": simhash_near_dedup,
+    "op11_conversation_repair": conversation_repair,
 }
