@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import ann, conversations, lang_id, line_dedup, mixing, packing, pii, secrets, sharding, simhash, syncmers
-from tidewright.llm.common import table
+from tidewright.llm import ann, conversations, lang_id, line_dedup, mixing, packing, pii, secrets, sharding, simhash, syncmers, vector_codes
+from tidewright.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,6 +99,17 @@ def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return full.select("*", F.when(F.col("sha256") == "", F.sha2(F.lit(""), 256)).otherwise(F.col("sha256")).alias("repaired_sha256")).drop("sha256")
 
 
+def vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors by 16 codebooks of 64 entries, their errors, and a hash of the codebooks."""
+    coded = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    if coded is None:
+        return spark.sql("select 0L vec_id, '' code, 0L error, 0L label_error, '' codebooks_sha256 where false")
+    error = F.aggregate("part_error", F.lit(0).cast("long"), lambda a, b: a + b)
+    rows = stored(coded.codes.select("vec_id", "label", F.lower(F.hex("codes")).alias("code"), error.alias("error")), "errors")
+    told = vector_codes.label_errors(rows).withColumn("codebooks_sha256", F.lit(vector_codes.books_sha256(coded.books)))
+    return told.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": line_dedup_,
     "op2_multi_index": nearest_neighbours,
@@ -112,4 +123,5 @@ QUERIES: dict[str, Query] = {
     "page_language": page_language,
     "op10_simhash_near_dedup": simhash_near_dedup,
     "op11_conversation_repair": conversation_repair,
+    "op12_vector_codes": vector_code_compression,
 }
