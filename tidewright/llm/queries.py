@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import ann, conversations, lang_id, line_dedup, mixing, packing, pii, secrets, sharding, simhash, syncmers, vector_codes
+from tidewright.llm import ann, bpe, conversations, lang_id, line_dedup, mixing, packing, pii, secrets, sharding, simhash, syncmers, vector_codes
 from tidewright.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +110,14 @@ def vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text and what they decode to, as hashes."""
+    docs = table(spark, sf_dir, "documents")
+    both = bpe.decode(bpe.encode(docs, bpe.build_lexicon(docs)))
+    count = F.floor(F.length("ids") / 4).cast("long")
+    return both.select("doc_id", count.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": line_dedup_,
     "op2_multi_index": nearest_neighbours,
@@ -124,4 +132,5 @@ QUERIES: dict[str, Query] = {
     "op10_simhash_near_dedup": simhash_near_dedup,
     "op11_conversation_repair": conversation_repair,
     "op12_vector_codes": vector_code_compression,
+    "op13_bpe_round_trip": bpe_round_trip,
 }
