@@ -12,7 +12,7 @@ from tidewright.model import MET_FIELDS, WAVE_FIELDS, stations
 from tidewright.sources import array_json
 from tidewright.sources.landed import land, read_landed
 from tidewright.plans.run import land_directory
-from tidewright.streaming.landing import land_new_files
+from tidewright.streaming.landing import land_new_files, rejected_files
 
 BASE = epoch(datetime(2026, 1, 1))
 
@@ -161,7 +161,7 @@ def test_rejected_files_are_recorded(spark, tmp_path):
     put(folder(root, mooring="xx99zzzz"), "1.json", {"time": [BASE]})
     call()
     got = sorted((r.file_path[r.file_path.index("/raw/") + 5:].replace("/D00020/buoy/metbk", ""), r.reason)
-                 for r in spark.read.parquet(rejected).collect())
+                 for r in rejected_files(spark, landed, rejected).collect())
     assert got == [("ce02shsm/corrupt.json", "corrupt"), ("ce02shsm/empty.json", "empty"),
                    ("ce02shsm/short.json", "short column air_temperature"), ("xx99zzzz/1.json", "unknown mooring")]
     assert read_landed(spark, landed).count() == 3

@@ -13,7 +13,7 @@ from tidewright.plans.progress import (
 )
 from tidewright.plans.run import ntz, plan_runs, run, run_directory
 from tidewright.sources.array_json import load_met
-from tidewright.sources.landed import edge_slice, land, read_landed, window_slice
+from tidewright.sources.landed import LandedTable, land, window_zones
 
 START = datetime(2026, 3, 1)
 
@@ -121,22 +121,17 @@ def test_alpha_date_and_missing_declination(spark, tmp_path):
         run(spark, met, wave, stations(spark), dim.filter("site = 'CE09'"), str(tmp_path / "out"), str(tmp_path / "progress"))
 
 
-def test_slices_prune_partitions(spark, tmp_path):
-    """The window's days and the last one before it; for bounds the first and last day."""
+def test_window_needs_its_days_and_the_last_before(spark, tmp_path):
     for day in (0, 1, 9, 12):
         raw_hours(tmp_path / "raw", "ce02shsm", 24 * day, 3)
     raw_hours(tmp_path / "raw", "ce04ossm", 24 * 5, 3)
     land(load_met(spark, str(tmp_path / "raw"), stations(spark)), str(tmp_path / "landed/metbk"))
-    met = read_landed(spark, str(tmp_path / "landed/metbk"))
+    met = LandedTable(spark, str(tmp_path / "landed/metbk"))
     runs = spark.sql("SELECT 'CE02' AS site, 'D00020' AS deployment, timestamp_ntz'2026-03-10 00:30:00' AS bin_start")
-
-    def days(df):
-        return {(r.site, str(r.date)) for r in df.select("site", "date").distinct().collect()}
-
-    window = window_slice(met, runs)
-    assert days(window) == {("CE02", "2026-03-02"), ("CE02", "2026-03-10"), ("CE02", "2026-03-13")}
-    assert days(edge_slice(met)) == {("CE02", "2026-03-01"), ("CE02", "2026-03-13"), ("CE04", "2026-03-06")}
-    assert "dynamicpruning" in window._jdf.queryExecution().executedPlan().toString()
+    window = met.read(window_zones(met, runs))
+    days = {"2026-03-02", "2026-03-10", "2026-03-13"}
+    assert {(r.site, str(r.date)) for r in window.select("site", "date").distinct().collect()} == {("CE02", d) for d in days}
+    assert {f.split("date=")[1][:10] for f in window.inputFiles()} == days  # no other folder is even listed
 
 
 def test_no_files(spark, tmp_path):

@@ -19,7 +19,7 @@ from tidewright.plans.progress import clear_progress, latest_progress, read_prog
 from tidewright.session import materialize
 from tidewright.sinks.text_files import check_path, write_text_files
 from tidewright.sources.array_json import INSTRUMENTS, deduplicate, instrument_files, samples
-from tidewright.sources.landed import edge_slice, land, read_landed, window_slice
+from tidewright.sources.landed import LandedTable, land, window_zones, zone_times
 from tidewright.streaming.landing import land_new_files
 
 
@@ -77,8 +77,8 @@ def bulletins(observed: DataFrame, runs: DataFrame, as_of: Column) -> DataFrame:
 
 def run(
     spark: SparkSession,
-    met: DataFrame,
-    wave: DataFrame,
+    met: DataFrame | LandedTable,
+    wave: DataFrame | LandedTable,
     stations: DataFrame,
     declinations: DataFrame,
     out_path: str,
@@ -89,36 +89,38 @@ def run(
     run_id: int | None = None,
     sites: list[str] | None = None,
     deployments: list[str] | None = None,
-    landed: bool = False,
 ) -> RunResult | None:
     """Write bulletins of all new bins and record the progress; None without new bins.
 
     ``sites`` and ``deployments`` limit the run, and what ``reprocess`` forgets: only deployments that have
-    samples in this run, at a station of ``stations``.  Samples may be any frames unique per time stamp; with
-    ``landed`` they are landed tables, of which only the dates in question are read.
+    samples in this run, at a station of ``stations``.  Samples may be any frames unique per time stamp, or landed
+    tables: then bounds and days come from their manifests and only the folders of the dates in question are read.
     Progress is recorded after the files are written: a run that breaks off is
     repeated.  Files go to ``<out_path>/<site>/<deployment>/``.
     """
     check_path(out_path)
     as_of = as_of or datetime.now(timezone.utc)
-    for column, wanted in (("site", sites), ("deployment", deployments)):
-        if wanted is not None:
-            met, wave = met.where(F.col(column).isin(wanted)), wave.where(F.col(column).isin(wanted))
+
+    def chosen(df: DataFrame) -> DataFrame:
+        for column, wanted in (("site", sites), ("deployment", deployments)):
+            if wanted is not None:
+                df = df.where(F.col(column).isin(wanted))
+        return df
+
+    met_times, wave_times = (chosen(zone_times(t) if isinstance(t, LandedTable) else t) for t in (met, wave))
     run_id = time.time_ns() // 1000 if run_id is None else run_id
     if reprocess:
-        clear_progress(spark, progress_path, run_id, only=met.select(*KEYS).join(stations.select("site"), "site", "left_semi"))
+        clear_progress(spark, progress_path, run_id, only=met_times.select(*KEYS).join(stations.select("site"), "site", "left_semi"))
         run_id += 1
     alpha = None if alpha_date is None else ntz(alpha_date)
     progress = read_progress(spark, progress_path)
-    extent = edge_slice(met) if landed else met
-    runs = materialize(plan_runs(extent, wave, stations, declinations, progress, alpha), "runs")
+    runs = materialize(plan_runs(met_times, wave_times, stations, declinations, progress, alpha), "runs")
     counts = runs.agg(F.count("*").alias("n"), F.count("alpha_deg").alias("n_alpha")).first()
     if counts["n"] == 0:
         return None
     if counts["n_alpha"] < counts["n"]:
         raise ValueError("no declination for some stations with new data")
-    if landed:
-        met, wave = window_slice(met, runs), window_slice(wave, runs)
+    met, wave = (samples_of(t, runs) if isinstance(t, LandedTable) else chosen(t) for t in (met, wave))
     observed = materialize(observations(met, wave, runs), "observations")
     path = F.concat_ws("/", "site", "deployment", "file_name").alias("file")
     write_text_files(bulletins(observed, runs, ntz(as_of)).select("*", path), out_path, encoding=ENCODING)
@@ -127,6 +129,12 @@ def run(
     return RunResult(runs, observed, counts["n"], written)
 
 
+def samples_of(table: LandedTable, runs: DataFrame) -> DataFrame:
+    """Landed samples that the runs need; empty ones where the table has none on their days."""
+    found = table.read(window_zones(table, runs))
+    return table.read().limit(0) if found is None else found
+
+
 def land_directory(spark: SparkSession, root: str, stations: DataFrame, landed_path: str) -> dict[str, int]:
     """Land every file under ``root``, new or not; returns files seen, corrupt and empty.
 
@@ -160,9 +168,7 @@ def run_directory(
     for instrument in INSTRUMENTS:
         path = f"{landed_path}/{instrument}"
         land_new_files(spark, root, instrument, stations, path, f"{landed_path}/seen_{instrument}", f"{landed_path}/rejected_{instrument}")
-        landed[instrument] = read_landed(spark, path)
-        if landed[instrument] is None:
+        landed[instrument] = LandedTable(spark, path)
+        if landed[instrument].zones().isEmpty():
             raise FileNotFoundError(f"no readable {instrument} files under {root}")
-    return run(
-        spark, landed["metbk"], landed["wavss"], stations, declinations, out_path, progress_path, landed=True, **options
-    )
+    return run(spark, landed["metbk"], landed["wavss"], stations, declinations, out_path, progress_path, **options)

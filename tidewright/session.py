@@ -24,6 +24,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def hadoop_path(spark: SparkSession, path: str) -> tuple:
+    """The file system that Spark uses for ``path``, and the path on it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
@@ -45,5 +51,5 @@ def discard(df: DataFrame) -> None:
     """Delete the files of a materialized table that is no longer needed."""
     spark = df.sparkSession
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()[:1]}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        fs, path = hadoop_path(spark, folder)
+        fs.delete(path, True)

@@ -32,17 +32,36 @@ def file_schema(fields: list[str]) -> T.StructType:
     return T.StructType([*array_schema(fields).fields, T.StructField(CORRUPT, T.StringType())])
 
 
+def text_schema(fields: list[str]) -> T.StructType:
+    """Cells are parsed as text, since numbers may be written as strings."""
+    return T.StructType([*[T.StructField(f, T.ArrayType(T.StringType())) for f in fields], T.StructField(CORRUPT, T.StringType())])
+
+
+def number(cell: Column) -> Column:
+    """A cell's text as a double; ``NaN`` and ``Infinity`` come in quotes from one of Spark's two ways to parse."""
+    return F.btrim(cell, F.lit('"')).try_cast("double")
+
+
+def checked(raw: DataFrame, fields: list[str]) -> DataFrame:
+    """Files with what is wrong with them in ``_corrupt_record``: not JSON, or a cell that is not a number.
+
+    The cells stay text here; ``unnest`` casts each of them once, after it has become a row.
+    """
+    cells = F.concat(*[F.coalesce(f, F.array().cast("array<string>")) for f in fields])
+    wrong = F.exists(cells, lambda x: x.isNotNull() & number(x).isNull())
+    return raw.withColumn(CORRUPT, F.coalesce(F.col(CORRUPT), F.when(wrong, "an array holds text")))
+
+
 def read_files(
     spark: SparkSession, paths: str | list[str], glob: str, fields: list[str]
 ) -> DataFrame:
-    """One row per file: a column of arrays per variable, absent ones NULL.
+    """One row per file: a column of arrays of text per variable, absent ones NULL.
 
     Numbers may be written as strings.  Files that are not valid JSON, or hold other than numbers in
     an array, have a text in ``_corrupt_record``.
     """
-    texts = T.StructType([*[T.StructField(f, T.ArrayType(T.StringType())) for f in fields], T.StructField(CORRUPT, T.StringType())])
     raw = (
-        spark.read.schema(texts)
+        spark.read.schema(text_schema(fields))
         .option("multiLine", True)
         .option("pathGlobFilter", glob)
         .option("mode", "PERMISSIVE")
@@ -50,10 +69,16 @@ def read_files(
         .json(paths)
         .select("*", F.col("_metadata.file_path").alias("file_path"))
     )
-    numbers = {f: F.transform(f, lambda x: x.try_cast("double")) for f in fields}
-    wrong = [F.exists(f, lambda x: x.isNotNull() & x.try_cast("double").isNull()) for f in fields]
-    told = F.coalesce(F.col(CORRUPT), F.when(F.greatest(*[F.coalesce(w, F.lit(False)) for w in wrong]), "an array holds text"))
-    return raw.withColumns({**numbers, CORRUPT: told})
+    return checked(raw, fields)
+
+
+def parse_files(whole: DataFrame, fields: list[str]) -> DataFrame:
+    """The same of files that come as rows (path, content, fault)."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    text = F.col("content").cast("string")
+    raw = whole.select(F.from_json(text, text_schema(fields), options).alias("j"), "fault", F.col("path").alias("file_path"))
+    told = F.coalesce(F.col(f"j.{CORRUPT}"), F.col("fault"), F.when(F.col("j").isNull(), "not an object"))
+    return checked(raw.select(*[f"j.{f}" for f in fields], told.alias(CORRUPT), "file_path"), fields)
 
 
 def longest(fields: list[str]) -> Column:
@@ -88,18 +113,15 @@ def accepted_files(files: DataFrame, fields: list[str], watch: Observation | Non
 
 
 def unnest(files: DataFrame, fields: list[str]) -> DataFrame:
-    """Parallel arrays to rows, with ``pos`` counting from 0.
+    """Parallel arrays to rows, with ``pos`` counting from 0; a cell becomes a number here, once.
 
     A column shorter than the longest one is NULL throughout; NaN becomes NULL.
     """
-    repaired = [
-        F.when(F.size(f) == F.col("n"), F.col(f)).otherwise(F.array_repeat(F.lit(None).cast("double"), F.col("n"))).alias(f)
-        for f in fields
-    ]
-    zipped = files.withColumn("rows", F.arrays_zip(*repaired)).drop(*fields, "n")
-    keep = [c for c in zipped.columns if c != "rows"]
+    keep = [c for c in files.columns if c not in (*fields, "n")]
+    whole = [F.when(F.size(f) == F.col("n"), F.col(f)).otherwise(F.array().cast("array<string>")).alias(f) for f in fields]
+    zipped = files.select(*keep, F.arrays_zip(*whole).alias("rows"))
     rows = zipped.select(*keep, F.posexplode("rows").alias("pos", "row"))
-    return rows.select(*keep, "pos", *[F.nanvl(F.col("row")[f], F.lit(None)).alias(f) for f in fields])
+    return rows.select(*keep, "pos", *[F.nanvl(number(F.col("row")[f]), F.lit(None)).alias(f) for f in fields])
 
 
 def with_keys(df: DataFrame, stations: DataFrame) -> DataFrame:

@@ -1,27 +1,26 @@
 """Landing of new files: a record of the paths landed so far decides what is new.
 
-Modification times play no part, so back-fills and restored archives land like any other file.
+Modification times play no part, so back-fills and restored archives land like any other file.  What a call lands is one batch: samples,
+rejects and paths are written under its number, and the manifest of the samples, written last, makes all three count.  A call that
+broke off is not seen and repeated by the next, under the same number.
 """
 
 from __future__ import annotations
 
-import math
-import re
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewright.model import KEYS
 from tidewright.session import discard, materialize
-from tidewright.sources.array_json import INSTRUMENTS, ORIGIN, deduplicate, read_files, rejects, samples
-from tidewright.sources.landed import land
-
-#: Files parsed at once; their paths, and no others, pass through the driver.
-FILES_PER_BLOCK = 5_000
+from tidewright.sources.array_json import INSTRUMENTS, ORIGIN, deduplicate, parse_files, rejects, samples
+from tidewright.sources.file_groups import read_whole
+from tidewright.sources.landed import LandedTable, unseen
+from tidewright.sources.ledger import Ledger
 
-SEEN = "path string, length bigint"
-REJECTED = "file_path string, reason string"
+SEEN = T.StructType([T.StructField("path", T.StringType()), T.StructField("length", T.LongType())])
+REJECTED = T.StructType([T.StructField("file_path", T.StringType()), T.StructField("reason", T.StringType())])
 
 
 def listing(spark: SparkSession, paths: str, glob: str) -> DataFrame:
@@ -38,14 +37,14 @@ def listing(spark: SparkSession, paths: str, glob: str) -> DataFrame:
         return spark.createDataFrame([], SEEN)
 
 
-def recorded(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A record table; empty where nothing was written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def seen_files(spark: SparkSession, path: str, upto: int) -> DataFrame:
+    """(path, length) of the files of the batches up to a number."""
+    return Ledger(spark, path, SEEN).read(upto)
+
+
+def rejected_files(spark: SparkSession, landed_path: str, rejected_path: str) -> DataFrame:
+    """(file_path, reason) of everything that kept a file, or one of its columns, from being landed."""
+    return Ledger(spark, rejected_path, REJECTED).read(LandedTable(spark, landed_path).manifest.last())
 
 
 def land_new_files(
@@ -53,23 +52,29 @@ def land_new_files(
 ) -> int:
     """Land the files under ``root`` that no earlier call landed; returns their number.
 
-    New is a path, or a length of it, that is not in the record at ``seen_path``.  A block of files is recorded
-    after its samples and rejects are written: one that breaks off is repeated and adds no sample twice.
+    New is a path, or a length of it, that is not in the record at ``seen_path``.  However many there are, they are one pass: dealt
+    out in groups, each read by one task.
     """
     glob, fields = INSTRUMENTS[instrument]
+    table = LandedTable(spark, landed_path)
+    batch = table.next_batch()
+    seen, rejected = Ledger(spark, seen_path, SEEN), Ledger(spark, rejected_path, REJECTED)
     there = listing(spark, f"{root}/*/*/buoy/{instrument}", glob)
-    new = materialize(there.join(recorded(spark, seen_path, SEEN), ["path", "length"], "left_anti"), "new-files")
+    new = materialize(there.join(seen.read(batch - 1), ["path", "length"], "left_anti"), "new-files")
     n = new.count()
-    blocks = math.ceil(n / FILES_PER_BLOCK)
-    for block in range(blocks):
-        part = new.where(F.pmod(F.xxhash64("path"), F.lit(blocks)) == block)
-        paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", r.path) for r in part.select("path").collect()]
-        if paths:
-            files = materialize(read_files(spark, paths, glob, fields), "files")
-            rows = deduplicate(samples(files, fields, stations))
-            land(rows.select(*KEYS, "time", *ORIGIN, *fields[1:]), landed_path)
-            rejects(files, fields, stations).write.mode("append").parquet(rejected_path)
-            part.write.mode("append").parquet(seen_path)
-            discard(files)
+    if n:
+        whole, dealt = read_whole(new)
+        files = materialize(parse_files(whole, fields), "files")
+        rows = deduplicate(samples(files, fields, stations)).select(*KEYS, "time", *ORIGIN, *fields[1:])
+        landing = materialize(rows.withColumn("date", F.to_date("time")), "landing")
+        table.write(unseen(table, landing), batch)
+        rejected.write(rejects(files, fields, stations).coalesce(1), batch)
+        seen.write(new.coalesce(1), batch)
+        table.commit(batch)
+        for ledger in (seen, rejected):
+            if ledger.snapshot_due():
+                ledger.snapshot(ledger.read())
+        for used in (dealt, files, landing):
+            discard(used)
     discard(new)
     return n
