@@ -63,6 +63,16 @@ def test_random_texts(tokenizer, held, seed):
         assert encoded(text, held) == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_words_merged_together_equal_each_alone():
+    known, rng = bpe.vocabulary(None), random.Random(8)
+    words = [bytes(rng.choices(b"etaoinshrdluz,\xc3\xa9", k=rng.randrange(1, 60))) for _ in range(3000)]
+    want = [np.array(known.merge(w), "<u4").tobytes() for w in words]
+    assert known.merge_all(words) == want
+    heap = [known.merge_long([known.inner[b] for b in w[:-1]] + [known.final[w[-1]]]) for w in words]
+    assert [np.array(h, "<u4").tobytes() for h in heap] == want
+    assert known.merge_all([]) == []
+
+
 def test_long_words_are_merged(tokenizer, held):
     text = "ab" * 20_000 + " " + "the" * 3000 + "\u65e5" * 5000
     assert encoded(text, held) == tokenizer.encode(text, add_special_tokens=False).ids

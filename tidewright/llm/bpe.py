@@ -13,13 +13,15 @@ import heapq
 import json
 import os
 import re
+import unicodedata
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,12 +36,18 @@ LEXICON_WORDS = 65_536
 LEAST_COUNT = 2
 #: Longer words are merged.
 LEXICON_LETTERS = 32
-#: Different words that a task counts before it passes them on.
-COUNTED_WORDS = 300_000
+#: Different words that a task counts, and different parts of texts whose ids it keeps, before it starts again.
+COUNTED_WORDS = 200_000
+KEPT_PARTS = 200_000
 #: Words that walk the automaton together.
 TOGETHER = 100_000
-#: Characters of a text that are split at a time.
+#: Characters of a text that are split at a time, and of texts that are encoded together.
 SLICE = 1_000_000
+TEXTS_TOGETHER = 4_000_000
+#: Words of more letters are merged with a heap.
+HEAP_FROM = 40
+#: Words that are merged together.
+MERGED_TOGETHER = 10_000
 
 # How a vocabulary file of this kind splits and normalizes text, and white space as it sees it.
 NORMALIZERS = [
@@ -48,7 +56,10 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PRE_TOKENIZERS = [
     {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
     {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
-WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
+WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+#: Parts of characters below this (Latin letters) need no library: they have no other composed form, and lower case
+#: is that of each letter by itself.
+PLAIN_BELOW = "\u0250"
 #: White space to Python's ``split`` only.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
@@ -60,6 +71,13 @@ def letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def plain_split() -> re.Pattern:
+    """``SPLIT`` for lower-case text of characters below ``PLAIN_BELOW``, with the classes written out."""
+    of = lambda kind: "".join(re.escape(c) for c in map(chr, range(ord(PLAIN_BELOW))) if unicodedata.category(c)[0] == kind)
+    classes = SPLIT.replace(r"[\p{L}]", f"[{of('L')}]").replace(r"[\p{N}]", f"[{of('N')}]").replace(r"\p{L}\p{N}", of("L") + of("N"))
+    return re.compile(classes.replace(r"\s", r"\t-\r \x85\xa0"))
+
+
 def words_of(text: str) -> list[str]:
     """Parts of a text between white space."""
     return [w for w in WHITE.split(text) if w] if SEPARATORS.search(text) else text.split()
@@ -102,60 +120,132 @@ class Vocabulary:
             raise ValueError(f"{path} is not a word-end byte-level BPE of the kind that this operator reads")
         self.normalize = tokenizer.normalizer.normalize_str
         self.split = tokenizer.pre_tokenizer.pre_tokenize_str
-        self.find = regex.compile(SPLIT).findall
+        self.find = plain_split().findall
         self.byte_of = byte_of
         self.special = {t["content"]: t["id"] for t in added}
         self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if added else None
         self.inner = [vocab[c] for c in sorted(byte_of, key=byte_of.get)]
         self.final = [vocab[c + suffix] for c in sorted(byte_of, key=byte_of.get)]
         self.merges = {}
+        self.letters_only = not any(s.isalpha() for s in self.special)
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
+            self.merges.setdefault(vocab[a] << 32 | vocab[b], rank << 32 | vocab[a + b])
         most = max([*vocab.values(), *self.special.values()])
+        pairs = sorted(self.merges.items())
+        self.pairs = np.array([p for p, _ in pairs] + [NONE], np.int64)
+        self.merged = np.array([m for _, m in pairs] + [NONE], np.int64)
+        self.letter_ids = np.array([self.inner, self.final], np.int64)
         self.tokens = [""] * (most + 1)
         for token, i in [*vocab.items(), *self.special.items()]:
             self.tokens[i] = token
 
-    def pieces(self, word: str) -> list[bytes | int]:
-        """Words, as bytes, of a part of a text without white space; ids of special tokens in it."""
-        if self.at_special is not None and self.at_special.search(word):
-            parts = [p for p in self.at_special.split(word) if p]
-            return [x for p in parts for x in ([self.special[p]] if p in self.special else self.pieces(p))]
-        if word.isascii():
-            return [p.encode() for p in self.find(word.lower())]
-        return [bytes(map(self.byte_of.__getitem__, p)) for p, _ in self.split(self.normalize(word))]
+    def has_special(self, text: str) -> bool:
+        return self.at_special is not None and self.at_special.search(text) is not None
+
+    def pieces(self, part: str, special: bool = True) -> list[bytes | int]:
+        """Words, as bytes, of a part of a text without white space; ids of special tokens in it, unless ``special`` says there are none."""
+        plain = max(part) < PLAIN_BELOW
+        low = part.lower() if plain else part
+        if plain and self.letters_only and low.isalpha():
+            return [low.encode()]
+        if special and self.has_special(part):
+            inner = [p for p in self.at_special.split(part) if p]
+            return [x for p in inner for x in ([self.special[p]] if p in self.special else self.pieces(p, False))]
+        if plain:
+            return [p.encode() for p in self.find(low)]
+        return [bytes(map(self.byte_of.__getitem__, p)) for p, _ in self.split(self.normalize(part))]
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word: the pair of least rank, the leftmost of equals, is merged until none is left."""
-        ids = [*(self.inner[b] for b in word[:-1]), self.final[word[-1]]]
+        inner, merges = self.inner, self.merges
+        ids = [inner[b] for b in word]
+        ids[-1] = self.final[word[-1]]
+        if len(ids) > HEAP_FROM:
+            return self.merge_long(ids)
+        found = [merges.get(a << 32 | b, NONE) for a, b in zip(ids, ids[1:])]
+        while found and (least := min(found)) < NONE:
+            i = found.index(least)
+            ids[i : i + 2] = [least & LOW]
+            del found[i]
+            if i:
+                found[i - 1] = merges.get(ids[i - 1] << 32 | ids[i], NONE)
+            if i < len(found):
+                found[i] = merges.get(ids[i] << 32 | ids[i + 1], NONE)
+        return ids
+
+    def merge_long(self, ids: list[int]) -> list[int]:
+        """The same with the pairs in a heap."""
         merges, n = self.merges, len(ids)
-        if n == 1:
-            return ids
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = []
-        for i in range(n - 1):
-            found = merges.get((ids[i], ids[i + 1]))
-            if found:
-                heap.append((found[0], i, ids[i], ids[i + 1], found[1]))
+        heap = [(merges[p], i, a, b) for i, (a, b) in enumerate(zip(ids, ids[1:])) if (p := a << 32 | b) in merges]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b, new = heapq.heappop(heap)
+            found, i, a, b = heapq.heappop(heap)
             j = after[i]
             if ids[i] != a or j >= n or ids[j] != b:
                 continue
-            ids[i], ids[j] = new, -1
+            ids[i], ids[j] = found & LOW, -1
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
             for left, right in ((before[i], i), (i, after[i])):
-                if left >= 0 and right < n:
-                    found = merges.get((ids[left], ids[right]))
-                    if found:
-                        heapq.heappush(heap, (found[0], left, ids[left], ids[right], found[1]))
+                if left >= 0 and right < n and (p := ids[left] << 32 | ids[right]) in merges:
+                    # the rank leads; of one pair the leftmost comes first
+                    heapq.heappush(heap, (merges[p], left, ids[left], ids[right]))
         return [i for i in ids if i >= 0]
 
 
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank and new id of each pair; ``NONE`` where it is not merged."""
+        pair = left << 32 | right
+        at = np.searchsorted(self.pairs, pair)
+        return np.where(self.pairs[at] == pair, self.merged[at], NONE)
+
+    def merge_all(self, words: list[bytes]) -> list[bytes]:
+        """``merge`` of many words, little-endian: all of about a length do one merge each at a time."""
+        out = [b""] * len(words)
+        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        while order and len(words[order[-1]]) > HEAP_FROM:
+            i = order.pop()
+            out[i] = array("I", self.merge(words[i])).tobytes()
+        for at in range(0, len(order), MERGED_TOGETHER):
+            rows = np.array(order[at : at + MERGED_TOGETHER])
+            some = [words[i] for i in rows]
+            n = np.array([len(w) for w in some])
+            width = int(n[-1])
+            columns = np.arange(width)
+            inside = columns < n[:, None]
+            letters = np.zeros((len(some), width), np.uint8)
+            letters[inside] = np.frombuffer(b"".join(some), np.uint8)
+            ids = np.where(columns == n[:, None] - 1, self.letter_ids[1][letters], self.letter_ids[0][letters])
+            found = np.full((len(some), width), NONE)
+            found[:, :-1][inside[:, 1:]] = self.ranks(ids[:, :-1][inside[:, 1:]], ids[:, 1:][inside[:, 1:]])
+            while len(rows):
+                place = found.argmin(1)
+                every = np.arange(len(rows))
+                least = found[every, place]
+                done = np.flatnonzero(least == NONE)
+                for k in done.tolist():
+                    out[rows[k]] = ids[k, : n[k]].astype("<u4").tobytes()
+                go = np.flatnonzero(least < NONE)
+                if not len(go):
+                    break
+                rows, n, place, least, every = rows[go], n[go] - 1, place[go], least[go], np.arange(len(go))
+                # the right one of the pair leaves its row
+                rest = np.arange(ids.shape[1] - 1)
+                moved = rest + (rest > place[:, None])
+                gone = rest + (rest >= place[:, None])
+                ids, found = np.take_along_axis(ids[go], moved, 1), np.take_along_axis(found[go], gone, 1)
+                ids[every, place] = least & LOW
+                left, right = np.flatnonzero(place > 0), np.flatnonzero(place + 1 < n)
+                found[left, place[left] - 1] = self.ranks(ids[left, place[left] - 1], ids[left, place[left]])
+                found[right, place[right]] = self.ranks(ids[right, place[right]], ids[right, place[right] + 1])
+                last = np.flatnonzero(place + 1 >= n)
+                found[last, place[last]] = NONE
+        return out
+
+
 @lru_cache(maxsize=2)
 def vocabulary(path: str | None) -> Vocabulary:
     if path is None:
@@ -165,6 +255,9 @@ def vocabulary(path: str | None) -> Vocabulary:
     return Vocabulary(path)
 
 
+#: Above every rank, and the half of a merge that holds the new id.
+NONE, LOW = 1 << 62, (1 << 32) - 1
+
 Output = tuple[int, ...]
 
 
@@ -369,18 +462,30 @@ def build_lexicon(docs: DataFrame, text_col: str = "text", *, tokenizer_path: st
     return path.rsplit("/", 1)[1]
 
 
-def encoded_words(parts: set[str], known: Vocabulary, held: Lexicon) -> dict[str, bytes]:
+def encoded_words(parts: set[str], known: Vocabulary, held: Lexicon, special: bool = True) -> dict[str, bytes]:
     """Ids of each part of a text: by the automaton, else by merging."""
-    pieces = {p: known.pieces(p) for p in parts}
+    pieces = {p: known.pieces(p, special) for p in parts}
     words = list({w for ps in pieces.values() for w in ps if isinstance(w, bytes)})
-    ids: dict[bytes | int, bytes] = {s: np.array([s], "<u4").tobytes() for s in known.special.values()}
+    ids: dict[bytes | int, bytes] = {s: array("I", [s]).tobytes() for s in known.special.values()}
     for at in range(0, len(words), TOGETHER):
         some = words[at : at + TOGETHER]
-        for word, found in zip(some, held.look_up(some), strict=True):
-            ids[word] = np.array(known.merge(word), "<u4").tobytes() if found is None else found
+        found = held.look_up(some)
+        ids |= {w: f for w, f in zip(some, found, strict=True) if f is not None}
+        unseen = [w for w, f in zip(some, found, strict=True) if f is None]
+        ids |= zip(unseen, known.merge_all(unseen), strict=True)
     return {p: b"".join(map(ids.__getitem__, ps)) for p, ps in pieces.items()}
 
 
+def together(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """A batch in parts whose second column holds about ``size`` bytes, single longer values apart."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(lengths) // size
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def encode(
     docs: DataFrame, lexicon_name: str, id_col: str = "doc_id", text_col: str = "text", *, tokenizer_path: str | None = None,
 ) -> DataFrame:
@@ -394,15 +499,17 @@ def encode(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, held = vocabulary(tokenizer_path), lexicon(SparkFiles.get(lexicon_name))
-        for batch in batches:
-            texts = [t.decode("utf-8", "replace") for t in batch.column(1).to_pylist()]
-            parts: set[str] = set()
-            for text in texts:
-                for part in slices(text):
-                    parts.update(words_of(part))
-            table = encoded_words(parts, known, held)
-            ids = [b"".join(b"".join(map(table.__getitem__, words_of(part))) for part in slices(text)) for text in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], schema=out)
+        table: dict[str, bytes] = {}
+        for whole in batches:
+            for batch in together(whole, TEXTS_TOGETHER):
+                texts = [t.decode("utf-8", "replace") for t in batch.column(1).to_pylist()]
+                special = any(map(known.has_special, texts))
+                parts = {p for text in texts for part in slices(text) for p in words_of(part)}
+                if len(table) > KEPT_PARTS:
+                    table.clear()
+                table |= encoded_words(parts.difference(table), known, held, special)
+                ids = [b"".join(b"".join(map(table.__getitem__, words_of(part))) for part in slices(text)) for text in texts]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], schema=out)
 
     return docs.select(F.col(f"`{id_col}`"), text_bytes(f"`{text_col}`").alias("text_bytes")).mapInArrow(work, schema)
 
@@ -417,11 +524,12 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", *,
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = vocabulary(tokenizer_path).tokens
-        for batch in batches:
-            texts = []
-            for data in batch.column(1):
-                ids = np.frombuffer(data.as_py() or b"", "<u4")
-                texts.append(" ".join(filter(None, map(tokens.__getitem__, ids[ids < len(tokens)].tolist()))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], schema=out)
+        for whole in batches:
+            for batch in together(whole, TEXTS_TOGETHER):
+                texts = []
+                for data in batch.column(1):
+                    ids = np.frombuffer(data.as_py() or b"", "<u4")
+                    texts.append(" ".join(filter(None, map(tokens.__getitem__, ids[ids < len(tokens)].tolist()))))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], schema=out)
 
     return encoded.select(F.col(f"`{id_col}`"), F.col(f"`{ids_col}`")).mapInArrow(work, schema)
