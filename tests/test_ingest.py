@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from tests.util import epoch
 from tidewright.model import MET_FIELDS, WAVE_FIELDS, stations
-from tidewright.sources import array_json
-from tidewright.sources.landed import land, read_landed
+from tidewright.session import materialize
+from tidewright.sources import array_json, ledger
+from tidewright.sources.file_groups import read_whole
+from tidewright.sources.landed import LandedTable, land, read_landed
 from tidewright.plans.run import land_directory
-from tidewright.streaming.landing import land_new_files, rejected_files
+from tidewright.streaming.landing import land_new_files, rejected_files, seen_files
 
 BASE = epoch(datetime(2026, 1, 1))
 
@@ -172,3 +174,94 @@ def test_rejected_files_are_recorded(spark, tmp_path):
 def test_numbers_written_as_strings(spark, tmp_path):
     put(folder(tmp_path), "a.json", {"time": [str(BASE)], "air_temperature": ["1.5"]})
     assert [r["air_temperature"] for r in load(spark, tmp_path)] == [1.5]
+
+
+def rows_of(df):
+    return sorted((r.site, r.deployment, r.time, r.air_temperature) for r in df.collect())
+
+
+def test_compaction_while_a_reader_runs(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ledger, "DELTAS", 3)
+    root = tmp_path / "raw"
+    call, landed, _, _ = landing(spark, root, tmp_path)
+    table = LandedTable(spark, landed)
+    for h in range(5):
+        for mooring in ("ce02shsm", "ce04ossm"):
+            put(folder(root, mooring), f"{h}.json", {"time": [BASE + 3600 * h, BASE + 86400 + h], "air_temperature": [h, h + 0.5]})
+        assert call() == 2
+    reader = table.read()
+    before, files = rows_of(reader), len(reader.inputFiles())
+    assert len(before) == 20 and files >= 20
+    assert table.compact() == 4
+    assert len(table.read().inputFiles()) == 4
+    assert rows_of(reader) == rows_of(table.read()) == before  # the reader that began before goes on
+    assert table.compact() == 0
+    assert table.vacuum() == 5
+    assert rows_of(table.read()) == before
+    put(folder(root), "9.json", {"time": [BASE, BASE + 9 * 3600], "air_temperature": [70.0, 9.0]})
+    assert call() == 1
+    assert rows_of(table.read()) == sorted([*before, ("CE02", "D00020", datetime(2026, 1, 1, 9), 9.0)])
+    assert sum(r["rows"] for r in table.zones().collect()) == 21
+    assert len(table.manifest.parts()) <= 4
+
+
+@pytest.mark.parametrize("step", ["rejected", "seen", "manifest"])
+def test_a_landing_that_breaks_off_leaves_nothing_twice(spark, tmp_path, monkeypatch, step):
+    root = tmp_path / "raw"
+    call, landed, seen, rejected = landing(spark, root, tmp_path)
+    put(folder(root), "0.json", {"time": [BASE], "air_temperature": [0.0]})
+    put(folder(root), "bad0.json", "[")
+    call()
+    put(folder(root), "1.json", {"time": [BASE, BASE + 60], "air_temperature": [8.0, 1.0]})
+    put(folder(root), "bad1.json", "[")
+    write = ledger.Ledger.write
+
+    def breaks(self, rows, number, snapshot=False):
+        if step in self.path:
+            raise RuntimeError("lost")
+        write(self, rows, number, snapshot)
+
+    monkeypatch.setattr(ledger.Ledger, "write", breaks)
+    with pytest.raises(RuntimeError, match="lost"):
+        call()
+    assert read_landed(spark, landed).count() == 1 and rejected_files(spark, landed, rejected).count() == 1
+    monkeypatch.setattr(ledger.Ledger, "write", write)
+    put(folder(root), "2.json", {"time": [BASE + 120], "air_temperature": [2.0]})
+    assert [call(), call()] == [3, 0]
+    assert [r[3] for r in rows_of(read_landed(spark, landed))] == [0.0, 1.0, 2.0]
+    names = [r.file_path.rsplit("/", 1)[1] for r in rejected_files(spark, landed, rejected).collect()]
+    assert sorted(names) == ["bad0.json", "bad1.json"]
+    assert seen_files(spark, seen, 99).count() == 5
+
+
+def test_many_files_land_in_one_pass(spark, tmp_path):
+    root = tmp_path / "raw"
+    path = folder(root)
+    for k in range(7_000):
+        (path / f"{k}.json").write_text('{"time": [%d], "air_temperature": [%d]}' % (BASE + 60 * k, k % 30))
+    call, landed, _, _ = landing(spark, root, tmp_path)
+    assert [call(), call()] == [7_000, 0]
+    table = LandedTable(spark, landed)
+    assert table.manifest.last() == 1 and table.read().count() == 7_000
+
+
+def test_a_file_that_goes_away_is_told(spark, tmp_path):
+    lost = spark.createDataFrame([(f"file:{tmp_path}/none.json", 9)], "path string, length long")
+    whole, _ = read_whole(materialize(lost, "lost"))
+    assert [(r.content, r.fault) for r in whole.collect()] == [(None, "FileNotFoundError")]
+
+
+def test_plan_of_the_parser_stays_small(spark, tmp_path):
+    put(folder(tmp_path), "a.json", {"time": [BASE]})
+    plan = array_json.load_met(spark, str(tmp_path), stations(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast") <= 22 or plan.count("TRY") <= 22
+
+
+def test_top_level_lists_are_rejected(spark, tmp_path):
+    root = tmp_path / "raw"
+    call, landed, _, rejected = landing(spark, root, tmp_path)
+    put(folder(root), "1.json", [{"time": [BASE]}, {"time": [BASE + 60]}])
+    put(folder(root), "2.json", '{"time": [%f, NaN, "%f"], "air_temperature": [NaN, 1, "2.5"], "barometric_pressure": [Infinity, -Infinity, 3]}' % (BASE, BASE + 60))
+    call()
+    assert [(r.air_temperature, r.barometric_pressure) for r in read_landed(spark, landed).orderBy("time").collect()] == [(None, float("inf")), (2.5, 3.0)]
+    assert [r.reason for r in rejected_files(spark, landed, rejected).collect()] == ["corrupt"]

@@ -6,14 +6,19 @@ from datetime import datetime, timedelta, timezone
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tests.util import declinations, epoch, met_frame, wave_frame
 from tidewright.model import MET_FIELDS, WAVE_FIELDS, stations
 from tidewright.plans.progress import (
-    clear_progress, latest_progress, progress_from_state_files, read_progress, save_progress,
+    clear_progress, latest_progress, progress_from_state_files, progress_ledger, read_progress, save_progress,
 )
 from tidewright.plans.run import ntz, plan_runs, run, run_directory
 from tidewright.sources.array_json import load_met
-from tidewright.sources.landed import LandedTable, land, window_zones
+from tidewright.operators.bounds import with_declination
+from tidewright.sinks.text_files import write_text_files, written_files
+from tidewright.sources import ledger
+from tidewright.sources.landed import LandedTable, land, window_zones, zone_times
 
 START = datetime(2026, 3, 1)
 
@@ -68,6 +73,7 @@ def test_first_run_increment_and_reprocess(spark, tmp_path):
     first = go(spark, tmp_path)
     assert first.deployments == 2
     out = files(tmp_path)
+    assert {r.file: r.bytes for r in first.files.collect()} == {f: len(t.encode("ISO-8859-1")) for f, t in out.items()}
     assert sorted(out) == [
         "CE02/D00020/23-01-Mar-2026-46097.xml", "CE02/D00020/23-02-Mar-2026-46097.xml",
         "CE04/D00020/10-09-Mar-2026-46098.xml",
@@ -154,9 +160,73 @@ def test_progress_log(spark, tmp_path):
     assert saved(spark, tmp_path) == {("CE02", "D1"): datetime(2026, 3, 1, 4), ("CE04", "D1"): None}
     save_progress(runs, path, 4)
     assert saved(spark, tmp_path)[("CE04", "D1")] == datetime(2026, 3, 1, 5)
-    broken = next(p for p in (tmp_path / "progress").glob("*.parquet"))
+    broken = next(p for p in (tmp_path / "progress").glob("000000000001-delta/*.parquet"))
     broken.write_bytes(b"broken")
-    assert read_progress(spark, path).count() >= 2
+    with pytest.warns(UserWarning, match="000000000001-delta"):
+        left = read_progress(spark, path)
+    assert left.count() >= 2
+
+
+def test_progress_reads_one_snapshot_and_the_tail(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ledger, "DELTAS", 4)
+    path = str(tmp_path / "progress")
+    for run in range(1, 15):
+        rows = spark.createDataFrame(
+            [(f"S{run % 3}", "D1", START + timedelta(hours=run))], "site string, deployment string, bin_end timestamp_ntz")
+        save_progress(rows, path, run)
+    kept = progress_ledger(spark, path)
+    assert sum(v.snapshot for v in kept.parts()) == 1 and len(kept.parts()) <= 5
+    assert len(kept.read().inputFiles()) <= 5
+    assert len(kept.versions()) <= 11  # versions before the last snapshot but one are gone
+    assert saved(spark, tmp_path) == {(f"S{r % 3}", "D1"): START + timedelta(hours=r) for r in (12, 13, 14)}
+
+
+def test_landed_bounds_do_not_scan_the_data(spark, tmp_path):
+    """Also with a stray sample of 1970, which the manifest shows like any other."""
+    raw_hours(tmp_path / "raw", "ce02shsm", 0, 3)
+    path = tmp_path / "raw/ce02shsm/D00020/buoy/metbk/stray.json"
+    path.write_text(json.dumps({"time": [3600.0]}))
+    table = LandedTable(spark, str(tmp_path / "landed/metbk"))
+    samples = load_met(spark, str(tmp_path / "raw"), stations(spark))
+    land(samples, table.path)
+    times = zone_times(table)
+    assert not [f for f in times.inputFiles() if "/data/" in f]
+    wave = times.select("site", "deployment", "time")
+    from_zones = plan_runs(times, wave, stations(spark), declinations(spark)).collect()
+    assert from_zones == plan_runs(samples, wave, stations(spark), declinations(spark)).collect()
+    assert from_zones[0].earliest == datetime(1970, 1, 1, 1)
+
+
+def test_manifest_of_a_failed_and_repeated_job(spark, tmp_path):
+    out = str(tmp_path / "out")
+    good = spark.createDataFrame([(f"CE02/D1/{k}.xml", "x" * k) for k in range(1, 40)], "file string, content string").repartition(5)
+    bad = good.withColumn("content", F.when(F.col("file").endswith("/7.xml"), F.raise_error(F.lit("no"))).otherwise(F.col("content")))
+    with pytest.raises(Exception):
+        write_text_files(bad, out, manifest="run")
+    with pytest.raises(FileNotFoundError):
+        written_files(spark, out, "run")
+    assert write_text_files(good, out, manifest="run") == "run"
+    on_disk = {str(p.relative_to(tmp_path / "out")): p.stat().st_size for p in (tmp_path / "out").rglob("*.xml")}
+    assert {r.file: r.bytes for r in written_files(spark, out, "run").collect()} == on_disk
+    assert not list((tmp_path / "out").glob(".parts*"))
+
+
+def test_declination_of_many_references(spark):
+    """The last reference not after the date, among 200,000 a site; the first one where all lie after it."""
+    n = 200_000
+    refs = spark.range(2 * n).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN 'CE02' ELSE 'CE04' END AS site", "timestamp_ntz'2000-01-01 00:00:00' + make_dt_interval(0, 0, id DIV 2 * 60) AS ref_date",
+        "double(id DIV 2) AS decl_deg", "0.0D AS rate_deg_per_year")
+    rows = spark.createDataFrame(
+        [(k, s, d) for k, (s, d) in enumerate([
+            ("CE02", datetime(1999, 1, 1)), ("CE02", datetime(2000, 1, 1)), ("CE02", datetime(2010, 5, 5, 5, 30)), ("CE04", datetime(2015, 1, 1, 0, 59)),
+            ("CE04", datetime(2090, 1, 1)), ("CE09", datetime(2010, 1, 1)), ("CE02", None)])],
+        "_at long, site string, day timestamp_ntz")
+    got = with_declination(rows, refs, F.col("day")).collect()
+    hours = lambda d: (d - datetime(2000, 1, 1)) // timedelta(hours=1)
+    assert {r._at: r.alpha_deg for r in got} == {
+        0: 0.0, 1: 0.0, 2: hours(datetime(2010, 5, 5, 5, 30)), 3: hours(datetime(2015, 1, 1)), 4: n - 1.0, 5: None, 6: None}
+    assert got[0].asDict().keys() == {"_at", "site", "day", "alpha_deg"}
 
 
 def test_state_files_carry_over(spark, tmp_path):

@@ -7,7 +7,7 @@ one window per station.
 from __future__ import annotations
 
 from tidewright.catalog import fixtures
-from tidewright.catalog.queries import DIGITS, FILE_ROWS
+from tidewright.catalog.queries import DIGITS
 from tidewright.functions import seawater as sw
 from tidewright.functions import text
 from tidewright.model import BINNED_FIELDS, DEFAULT_SENSOR_DEPTH_M, MET_FIELDS, QC_BOUNDS, STATIONS, WAVE_FIELDS
@@ -209,7 +209,7 @@ def _source(select: str, *ctes: str) -> str:
 
 
 _MET = ", ".join(MET_FIELDS)
-_FILE_KIND = f"(event_id // {FILE_ROWS}) % 4"
+_FILE_NO = "CAST(floor(epoch(time) / 3600) AS BIGINT)"
 _ROTATED_U = "({u}) * cos(radians(alpha)) + ({v}) * sin(radians(alpha))"
 _ROTATED_V = "({v}) * cos(radians(alpha)) - ({u}) * sin(radians(alpha))"
 _WU, _WV = "cos(radians(270 - mean_wave_direction))", "sin(radians(270 - mean_wave_direction))"
@@ -227,14 +227,29 @@ ORACLE: dict[str, str] = {
         f"SELECT site, station_id, file_name, time, {_round(BINNED_FIELDS)} FROM named", True, [BIN_CTES, NAMED_CTE]
     ),
     "ingest_json": _source(f"SELECT site, deployment, {_MET} FROM met"),
+    "ingest_wave_json": _source(
+        f"SELECT site, deployment, time - INTERVAL 10 MINUTE AS time, {_round(WAVE_FIELDS[1:])} FROM wave"
+    ),
     "ragged_arrays": _source(
         f"""SELECT * EXCLUDE (event_id, kind, precipitation_level, air_temperature),
           CASE WHEN kind <> 1 THEN precipitation_level END AS precipitation_level,
           CASE WHEN kind <> 2 THEN air_temperature END AS air_temperature
-        FROM (SELECT *, {_FILE_KIND} AS kind,
-                     (row_number() OVER (PARTITION BY site, event_id // {FILE_ROWS} ORDER BY event_id) - 1)::INTEGER AS pos
+        FROM (SELECT *, {_FILE_NO} % 4 AS kind,
+                     (row_number() OVER (PARTITION BY site, {_FILE_NO} ORDER BY event_id) - 1)::INTEGER AS pos
               FROM raw_met) WHERE kind <> 3"""
     ),
+    "rejected_files": _source(
+        f"""SELECT CASE WHEN kind = 4 THEN 'x' ELSE '' END || mooring || '/D00001' AS folder, printf('%08d.metbk.json', file_no) AS file,
+          CASE kind WHEN 0 THEN 'corrupt' WHEN 1 THEN 'empty' WHEN 2 THEN 'corrupt' WHEN 3 THEN 'short column air_temperature'
+               ELSE 'unknown mooring' END AS reason
+        FROM (SELECT DISTINCT site, {_FILE_NO} AS file_no, {_FILE_NO} % 16 AS kind FROM raw_met) JOIN station USING (site)
+        WHERE kind <= 4"""
+    ),
+    "landed_bounds": _source(
+        """SELECT site, deployment, time::DATE AS date, min(time) AS first_time, max(time) AS last_time, count(*) AS n
+        FROM met GROUP BY ALL"""
+    ),
+    "compacted_samples": _source(f"SELECT site, deployment, 1::BIGINT AS n_batches, {_MET} FROM met"),
     "met_stream": _source(f"SELECT site, deployment, {_MET} FROM met"),
     "wave_stream": _source(
         f"SELECT site, deployment, time - INTERVAL 10 MINUTE AS time, {_round(WAVE_FIELDS[1:])} FROM wave"
@@ -339,6 +354,13 @@ ORACLE: dict[str, str] = {
         FROM (SELECT *, {_message()} AS message FROM named) GROUP BY site, station_id, file_name""",
         True, [BIN_CTES, NAMED_CTE]
     ),
+    "published_files": _run(
+        f"""SELECT site || '/' || file_name AS file, strlen(
+          '{text.BULLETIN_PREFIX}' || strftime(max(time), '%d%H%M') || chr(10) || '{text.XML_DECLARATION}' || chr(10) ||
+          string_agg(message, chr(10) ORDER BY time)) AS bytes
+        FROM (SELECT *, {_message()} AS message FROM named) GROUP BY site, station_id, file_name""",
+        True, [BIN_CTES, NAMED_CTE]
+    ),
     "stream_bins": _run(
         f"""SELECT site, time, {", ".join(
             f"round(CASE WHEN {c} >= {QC_BOUNDS[c][0]} AND {c} <= {QC_BOUNDS[c][1]} THEN {c} END, {DIGITS}) AS {c}" for c in _STREAM_VALUES

@@ -26,9 +26,11 @@ from tidewright.operators.rain import rain_rate
 from tidewright.plans import progress as progress_log
 from tidewright.plans.run import observations, plan_runs
 from tidewright.session import materialize, scratch_path
-from tidewright.sinks.text_files import write_text_files
+from tidewright.sinks.text_files import write_text_files, written_files
 from tidewright.sources import array_json, events
+from tidewright.sources.landed import LandedTable
 from tidewright.streaming.bins import collect_available, stream_bins
+from tidewright.streaming.landing import land_new_files, rejected_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -95,50 +97,113 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- sources ---------------------------------------------------------------------
 
-#: Samples per raw file; event ids are unique, so a file holds at most this many.
-FILE_ROWS = 512
+#: What is wrong with one raw file in so many, by the number of its hour.
+RAGGED_EVERY, WRONG_EVERY = 4, 16
 
 
-def write_raw_files(spark: SparkSession, sf_dir: str, ragged: bool) -> str:
-    """Store the meteorological samples as raw JSON files; returns their root.
+def write_raw_files(
+    spark: SparkSession, samples: DataFrame, fields: list[str], instrument: str, *, suffix: str | None = None, ragged: bool = False,
+    wrong: bool = False, root: str | None = None,
+) -> str:
+    """Store samples as raw JSON files, one a station and hour; returns their root.
 
     With ``ragged``, one file in four lacks a column, one has a short column and
-    one a short time column.
+    one a short time column.  With ``wrong``, of 16 files one is cut off, one has no columns, one holds text, one a short column and
+    one comes from an unknown mooring.
     """
     st = stations(spark).select("site", "mooring")
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    numbered = events.raw_met(spark, sf_dir).withColumn("file_no", F.expr(f"event_id DIV {FILE_ROWS}"))
-    sample = F.struct("event_id", interval_seconds(F.col("time") - epoch).alias("time"), *MET_FIELDS[1:])
+    seconds = interval_seconds(F.col("time") - epoch)
+    numbered = samples.withColumn("file_no", F.floor(seconds / 3600))
+    sample = F.struct("event_id", seconds.alias("time"), *fields[1:])
     grouped = numbered.groupBy("site", "deployment", "file_no").agg(F.sort_array(F.collect_list(sample)).alias("s"))
-    arrays = {f: F.col("s")[f] for f in MET_FIELDS}
+    arrays = {f: F.col("s")[f] for f in fields}
+    short = lambda f: F.slice(arrays[f], 1, F.size("s") - 1)
     if ragged:
-        kind = F.col("file_no") % 4
+        kind = F.col("file_no") % RAGGED_EVERY
         arrays["precipitation_level"] = F.when(kind != 1, arrays["precipitation_level"])
         for f, k in (("air_temperature", 2), ("time", 3)):
-            arrays[f] = F.when(kind == k, F.slice(arrays[f], 1, F.size("s") - 1)).otherwise(arrays[f])
-    files = grouped.join(st, "site").select(
-        F.format_string("%s/%s/buoy/metbk/%08d.metbk.json", "mooring", "deployment", "file_no").alias("file"),
-        F.to_json(F.struct(*[arrays[f].alias(f) for f in MET_FIELDS])).alias("content"),
+            arrays[f] = F.when(kind == k, short(f)).otherwise(arrays[f])
+    kind = F.col("file_no") % WRONG_EVERY if wrong else F.lit(-1)
+    arrays[fields[1]] = F.when(kind == 3, short(fields[1])).otherwise(arrays[fields[1]])
+    content = F.to_json(F.struct(*[arrays[f].alias(f) for f in fields]))
+    content = (
+        F.when(kind == 0, F.concat(F.lit('{"time": ['), F.col("file_no"))).when(kind == 1, "{}")
+        .when(kind == 2, F.concat(F.lit('{"time": ["noon"], "more": '), F.col("file_no"), F.lit("}"))).otherwise(content)
     )
-    root = scratch_path(spark, "raw-files")
+    mooring = F.when(kind == 4, F.concat(F.lit("x"), F.col("mooring"))).otherwise(F.col("mooring"))
+    files = grouped.join(st, "site").select(
+        F.format_string(f"%s/%s/buoy/{instrument}/%08d.{suffix or instrument}.json", mooring, "deployment", "file_no").alias("file"), content.alias("content"))
+    root = root or scratch_path(spark, "raw-files")
     write_text_files(files, root)
     return root
 
 
 @query("ingest_json")
 def ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = write_raw_files(spark, sf_dir, ragged=False)
+    root = write_raw_files(spark, events.raw_met(spark, sf_dir), MET_FIELDS, "metbk")
     return array_json.load_met(spark, root, stations(spark)).select(*KEYS, *MET_FIELDS)
 
 
+@query("ingest_wave_json")
+def ingest_wave_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wave samples, moved to the middle of their cycle; files of the other instrument in the same folders do not count."""
+    root = write_raw_files(spark, events.raw_wave(spark, sf_dir), WAVE_FIELDS, "wavss")
+    write_raw_files(spark, events.raw_met(spark, sf_dir), MET_FIELDS, "wavss", suffix="metbk", root=root)
+    moved = array_json.shifted_wave(array_json.load_wave(spark, root, stations(spark)))
+    return rounded(moved.select(*KEYS, *WAVE_FIELDS), WAVE_FIELDS[1:])
+
+
 @query("ragged_arrays")
 def ragged_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = write_raw_files(spark, sf_dir, ragged=True)
+    root = write_raw_files(spark, events.raw_met(spark, sf_dir), MET_FIELDS, "metbk", ragged=True)
     files = array_json.read_files(spark, f"{root}/*/*/buoy/metbk", "*.json", MET_FIELDS)
     rows = array_json.samples(files, MET_FIELDS, stations(spark))
     return rows.select(*KEYS, "pos", *MET_FIELDS)
 
 
+def _land(spark: SparkSession, root: str, landed: str) -> int:
+    return land_new_files(spark, root, "metbk", stations(spark), landed, f"{landed}-seen", f"{landed}-rejected")
+
+
+@query("rejected_files")
+def rejected_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What keeps files, or columns of them, from being landed, by two calls over the same files."""
+    root = write_raw_files(spark, events.raw_met(spark, sf_dir), MET_FIELDS, "metbk", wrong=True)
+    landed = scratch_path(spark, "landed")
+    _land(spark, root, landed)
+    _land(spark, root, landed)
+    told = rejected_files(spark, landed, f"{landed}-rejected")
+    return told.select(F.regexp_extract("file_path", r"([^/]+/[^/]+)/buoy/metbk/([^/]+)$", 1).alias("folder"), F.regexp_extract("file_path", r"[^/]+$", 0).alias("file"), "reason")
+
+
+def _landed_twice(spark: SparkSession, sf_dir: str) -> LandedTable:
+    """All samples, landed by two calls: those of even ids first."""
+    met = events.raw_met(spark, sf_dir)
+    root = write_raw_files(spark, met.where("event_id % 2 = 0"), MET_FIELDS, "metbk")
+    landed = scratch_path(spark, "landed")
+    _land(spark, root, landed)
+    write_raw_files(spark, met.where("event_id % 2 = 1"), MET_FIELDS, "metbk", suffix="late", root=root)
+    _land(spark, root, landed)
+    return LandedTable(spark, landed)
+
+
+@query("landed_bounds")
+def landed_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First and last time and rows of each landed day, from the manifest."""
+    days = _landed_twice(spark, sf_dir).zones().groupBy(*KEYS, "date")
+    return days.agg(F.min("min_time").alias("first_time"), F.max("max_time").alias("last_time"), F.sum("rows").alias("n"))
+
+
+@query("compacted_samples")
+def compacted_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed samples after compaction, and the batches that hold their day."""
+    table = _landed_twice(spark, sf_dir)
+    table.compact()
+    batches = table.zones().groupBy(*KEYS, "date").agg(F.count("*").alias("n_batches"))
+    return table.read().join(batches, [*KEYS, "date"]).select(*KEYS, "n_batches", *MET_FIELDS)
+
+
 @query("met_stream")
 def met_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.met_samples(spark, sf_dir).select(*KEYS, *MET_FIELDS)
@@ -443,6 +508,16 @@ def bulletin_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bulletin_files(_named(spark, sf_dir, runs), run_days(runs)).drop("deployment")
 
 
+@query("published_files")
+def published_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of the files of a resumed run, as written."""
+    runs = materialize(resumed_runs(spark, sf_dir), "runs")
+    files = bulletin_files(_named(spark, sf_dir, runs), run_days(runs))
+    out = scratch_path(spark, "published")
+    manifest = write_text_files(files.select(F.concat_ws("/", "site", "file_name").alias("file"), "content"), out, encoding=text.ENCODING)
+    return written_files(spark, out, manifest)
+
+
 # ---- streaming -----------------------------------------------------------------------------
 
 
@@ -476,7 +551,7 @@ def cleared_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_id = lambda n: F.lit(n).cast("bigint").alias("run_id")
     done = extent.select(*KEYS, (F.col("earliest") + F.expr("INTERVAL 3 HOURS")).alias("last_bin_end"), run_id(1), F.lit(False).alias("cleared"))
     path = scratch_path(spark, "progress")
-    done.write.parquet(path)
+    progress_log.append_progress(done, path)
     progress_log.clear_progress(spark, path, 2, sites=["CE02", "CE07"], deployments=["D00002"])
     runs = bounds.run_bounds(extent, progress_log.latest_progress(progress_log.read_progress(spark, path)))
     return runs.select(*KEYS, "bin_start", "bin_end", "grid_end")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.functions.declination import declination_at
@@ -54,23 +54,38 @@ def bin_grid(windows: DataFrame) -> DataFrame:
 
 
 def with_declination(df: DataFrame, declinations: DataFrame, date: Column) -> DataFrame:
-    """Add ``alpha_deg`` for ``date`` from the declination dimension, joined by site.
+    """Add ``alpha_deg`` for ``date`` from the declination table: of a site's reference dates the last one not after ``date``.
 
-    The dimension has a few rows per station and is broadcast below Spark's size threshold.  Of several reference dates per site the last one not after
-    ``date`` counts, or the first one if all lie after it.
+    Where all lie after it the first one counts.  An as-of join by union: rows and references are sorted together within
+    a site's day; the last reference of earlier days comes from a summary with one row for each site and day that
+    occurs.  So neither a long table of references nor a site with many rows meets in one task.
     """
-    dim = declinations.groupBy("site").agg(
-        F.sort_array(F.collect_list(F.struct("ref_date", "decl_deg", "rate_deg_per_year"))).alias("refs")
-    )
-    past = F.filter("refs", lambda r: r["ref_date"] <= date)
-    ref = F.when(F.size(past) > 0, F.element_at(past, -1)).otherwise(F.element_at("refs", 1))
-    return (
-        df.join(dim, "site", "left")
-        .withColumn("ref", ref)
-        .withColumn("alpha_deg", declination_at(
-            F.col("ref.decl_deg"), F.col("ref.rate_deg_per_year"), F.col("ref.ref_date"), date))
-        .drop("refs", "ref")
+    fields = ["ref_date", "decl_deg", "rate_deg_per_year"]
+    ref = F.struct(*fields)
+    # one name that no column of ``df`` has
+    at, day, found, row = (next(f"{n}{'_' * k}" for k in range(99) if f"{n}{'_' * k}" not in df.columns) for n in ("_at", "_day", "_ref", "_row"))
+    rows = df.select("site", date.alias(at), F.lit(None).cast(_ref_type()).alias(found), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(row))
+    refs = declinations.select("site", F.col("ref_date").alias(at), ref.cast(_ref_type()).alias(found), F.lit(None).cast(rows.schema[row].dataType).alias(row))
+    both = rows.union(refs).withColumn(day, F.to_date(at))
+    so_far = Window.partitionBy("site", day).orderBy(F.col(at).asc_nulls_first(), F.col(row).isNotNull())
+    inside = both.withColumn("_inside", F.last(found, ignorenulls=True).over(so_far.rowsBetween(Window.unboundedPreceding, 0)))
+    days = both.groupBy("site", day).agg(F.max(found).alias("_last"))
+    earlier = Window.partitionBy("site").orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
+    carried = days.select("site", day, F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+    first = declinations.groupBy("site").agg(F.min(ref.cast(_ref_type())).alias("_first"))
+    best = F.coalesce("_inside", "_carried", "_first")
+    placed = (
+        inside.where(F.col(row).isNotNull()).alias("i")
+        .join(carried.alias("c"), F.expr(f"i.site <=> c.site AND i.{day} <=> c.{day}"), "left")
+        .join(first.alias("f"), F.expr("i.site = f.site"), "left")
+        .select(f"i.{row}", F.when(F.col(f"i.{at}").isNotNull(), best).alias("_best"), F.col(f"i.{at}").alias("_date"))
     )
+    alpha = declination_at(F.col("_best.decl_deg"), F.col("_best.rate_deg_per_year"), F.col("_best.ref_date"), F.col("_date"))
+    return placed.select(f"{row}.*", alpha.alias("alpha_deg"))
+
+
+def _ref_type() -> str:
+    return "struct<ref_date:timestamp_ntz,decl_deg:double,rate_deg_per_year:double>"
 
 
 def with_run_constants(

@@ -1,27 +1,42 @@
-"""Progress of each deployment: an append-only table of processed windows."""
+"""Progress of each deployment: a ledger of processed windows, one version a run."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.functions.timegrid import instant_to_ntz
-from tidewright.model import KEYS, PROGRESS_SCHEMA, local_table
+from tidewright.model import KEYS, PROGRESS_SCHEMA
+from tidewright.session import materialize
 from tidewright.sources.array_json import PATH_KEYS
+from tidewright.sources.ledger import Ledger
+
+
+def progress_ledger(spark: SparkSession, path: str) -> Ledger:
+    return Ledger(spark, path, PROGRESS_SCHEMA)
 
 
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
-    """All progress rows; empty where none was written yet.
+    """Progress rows since the last snapshot, and those of it; empty where none was written yet.
 
-    Unreadable files are skipped, so what they held counts as never processed.
+    A version that cannot be read is named in a warning, and what it held counts as never processed.
     """
+    ledger = progress_ledger(spark, path)
     try:
-        return spark.read.schema(PROGRESS_SCHEMA).option("ignoreCorruptFiles", True).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return local_table(spark, [], PROGRESS_SCHEMA)
+        return materialize(ledger.read(), "progress")
+    except Exception:  # noqa: BLE001
+        good = []
+        for v in ledger.parts():
+            try:
+                good.append(materialize(spark.read.schema(PROGRESS_SCHEMA).parquet(f"{path}/{v.name}"), "progress"))
+            except Exception as e:  # noqa: BLE001
+                warnings.warn(f"progress version {path}/{v.name} cannot be read and is left out: {str(e)[:300]}", stacklevel=2)
+        out = spark.createDataFrame([], PROGRESS_SCHEMA)
+        for rows in good:
+            out = out.union(rows)
+        return out
 
 
 def latest_progress(progress: DataFrame) -> DataFrame:
@@ -34,14 +49,19 @@ def latest_progress(progress: DataFrame) -> DataFrame:
     )
 
 
-def _append(rows: DataFrame, path: str) -> None:
-    ordered = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PROGRESS_SCHEMA])
-    ordered.coalesce(1).write.mode("append").parquet(path)
+def append_progress(rows: DataFrame, path: str) -> None:
+    """Add rows as one version; from time to time the last row of each deployment becomes a snapshot."""
+    spark = rows.sparkSession
+    ledger = progress_ledger(spark, path)
+    ledger.write(rows.coalesce(1), ledger.last() + 1)
+    if ledger.snapshot_due():
+        last = read_progress(spark, path).groupBy(*KEYS).agg(F.max_by(F.struct("last_bin_end", "cleared"), "run_id").alias("s"), F.max("run_id").alias("run_id"))
+        ledger.snapshot(last.select(*KEYS, "s.last_bin_end", "run_id", "s.cleared").coalesce(1))
 
 
 def save_progress(runs: DataFrame, path: str, run_id: int) -> None:
     """Record ``bin_end`` of each run; call it after its output is written."""
-    _append(
+    append_progress(
         runs.select(
             *KEYS,
             F.col("bin_end").alias("last_bin_end"),
@@ -66,7 +86,7 @@ def clear_progress(
             keys = keys.filter(F.col(column).isin(wanted))
     if only is not None:
         keys = keys.join(only.select(*KEYS).distinct(), KEYS, "left_semi")
-    _append(
+    append_progress(
         keys.select(
             *KEYS,
             F.lit(None).alias("last_bin_end"),

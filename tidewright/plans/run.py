@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -17,7 +18,7 @@ from tidewright.operators.bulletin import bulletin_files, file_names
 from tidewright.operators.qc import apply_qc
 from tidewright.plans.progress import clear_progress, latest_progress, read_progress, save_progress
 from tidewright.session import materialize
-from tidewright.sinks.text_files import check_path, write_text_files
+from tidewright.sinks.text_files import check_path, write_text_files, written_files
 from tidewright.sources.array_json import INSTRUMENTS, deduplicate, instrument_files, samples
 from tidewright.sources.landed import LandedTable, land, window_zones, zone_times
 from tidewright.streaming.landing import land_new_files
@@ -25,9 +26,9 @@ from tidewright.streaming.landing import land_new_files
 
 @dataclass(frozen=True)
 class RunResult:
-    """``runs``: what was processed, one row per deployment; ``observations``: its bins; ``files``: paths written.
+    """``runs``: what was processed, one row per deployment; ``observations``: its bins; ``files``: the manifest of what was written.
 
-    ``files`` has the site, the deployment and the file, relative to the output folder.
+    ``files`` has the site, the deployment, the file, relative to the output folder, and its bytes.
     """
 
     runs: DataFrame
@@ -123,9 +124,11 @@ def run(
     met, wave = (samples_of(t, runs) if isinstance(t, LandedTable) else chosen(t) for t in (met, wave))
     observed = materialize(observations(met, wave, runs), "observations")
     path = F.concat_ws("/", "site", "deployment", "file_name").alias("file")
-    write_text_files(bulletins(observed, runs, ntz(as_of)).select("*", path), out_path, encoding=ENCODING)
+    manifest = write_text_files(
+        bulletins(observed, runs, ntz(as_of)).select("*", path), out_path, encoding=ENCODING, manifest=f"run-{run_id}-{uuid.uuid4().hex[:8]}")
     save_progress(runs, progress_path, run_id)
-    written = file_names(observed, runs, ntz(as_of)).select(*KEYS, path).distinct()
+    keys = F.split("file", "/")
+    written = written_files(spark, out_path, manifest).select(keys[0].alias("site"), keys[1].alias("deployment"), "file", "bytes")
     return RunResult(runs, observed, counts["n"], written)
 
 
