@@ -1,8 +1,10 @@
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
-from tests.llm.util import docs_of, odd_docs
+from tests.llm.util import docs_of, keeps_columns, odd_docs
 from tidewright.llm import pii
 
 KEY = "test key"
@@ -45,11 +47,62 @@ def test_small_space_has_no_collisions(spark):
     assert len(set(told)) == 100 and not set(told) & set(mails)
 
 
-def test_full_space_is_reported(spark, monkeypatch):
-    monkeypatch.setattr(pii, "ATTEMPTS", 1)
-    mails = [f"{a}{d}@x.de" for a in "abcdefghij" for d in range(10)]
-    with pytest.raises(RuntimeError):
-        replaced(spark, [" ".join(mails)])
+@pytest.mark.parametrize("key", ["one", "two", "three"])
+def test_full_space(spark, key):
+    """Every mail of one letter at one host, and every two-digit end of a number: all stay different."""
+    mails = [f"{chr(97 + k)}@gmail.com" for k in range(26)]
+    phones = [f"+1 212 555 01{k:02}" for k in range(100)]
+    start = time.perf_counter()
+    rows = pii.with_surrogates(docs_of(spark, [(0, " ".join(mails)), (1, "; ".join(phones))]), key).collect()
+    assert time.perf_counter() - start < 30
+    mail, phone = (r.text for r in sorted(rows, key=lambda r: r.doc_id))
+    assert len(set(mail.split(" "))) == 26 and not set(mail.split(" ")) & set(mails)
+    assert len({m.split("@")[1] for m in mail.split(" ")}) == 1
+    assert len(set(phone.split("; "))) == 100 and all(re.fullmatch(r"\+1 \d{3} \d{3} \d{4}", p) for p in phone.split("; "))
+
+
+def test_permutation_is_one_to_one(spark):
+    norms = [f"{a}{b}{c}" for a in "0123456789" for b in "abcdefghijklmnopqrstuvwxyz" for c in "01234"]
+    table = spark.createDataFrame([(n, n) for n in norms], "norm string, body string")
+    got = [r.body for r in pii.permuted(table, "body", KEY, F.lit("t")).collect()]
+    assert len(set(got)) == len(norms) and all(re.fullmatch(r"\d[a-z]\d", g) for g in got)
+    addresses = [(f"10.0.{i}.{j}", "address") for i in range(30) for j in range(256)]
+    cores = pii.with_core(spark.createDataFrame(addresses, "norm string, kind string"), KEY, 0).select("core").distinct()
+    assert cores.count() == len(addresses)
+
+
+def luhn_right(number):
+    digits = [int(c) for c in re.sub(r"\D", "", number)][::-1]
+    return sum(d if i % 2 == 0 else 2 * d - 9 * (d > 4) for i, d in enumerate(digits)) % 10 == 0
+
+
+def mod97_right(number):
+    bare = number.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in bare[4:] + bare[:4])) % 97 == 1
+
+
+def test_check_digits_stay_right_or_wrong(spark):
+    texts = ["4111 1111 1111 1111", "4111111111111112", "378282246310005", "GB82 WEST 1234 5698 7654 32", "GB83WEST12345698765432", "DE89 3704 0044 0532 0130 00"]
+    out, n = replaced(spark, texts)
+    assert n == [1] * 6 and not set(out) & set(texts)
+    assert [luhn_right(t) for t in out[:3]] == [True, False, True] and [mod97_right(t) for t in out[3:]] == [True, False, True]
+    assert out[0][0] == "4" and out[3][:2] == "GB" and out[5][:2] == "DE"
+
+
+def test_country_codes_and_scripts(spark):
+    texts = ["+1 (212) 555-0147", "+49 30 123456", "+49 (30) 1234 5678", "Mr Արամ", "Mr 王小明", "Господин Иванов"]
+    out, n = replaced(spark, texts)
+    assert out[0].startswith("+1 (") and out[1].startswith("+49 ") and out[2].startswith("+49 (") and n[:3] == [1, 1, 1]
+    assert out[3:5] == texts[3:5]  # no names of these scripts: left alone
+    assert re.fullmatch("Господин [А-я]+мер", out[5]) and out[5] != texts[5]
+
+
+def test_surrogates_keep_off_entities_that_occur(spark):
+    """The image of one number stands in another text: it gets another image, and nothing meets."""
+    first = "078-05-1120"
+    image = replaced(spark, [first])[0][0]
+    out, _ = replaced(spark, [first, image])
+    assert len(set(out)) == 2 and not set(out) & {first, image}
 
 
 def test_names_keep_gender_script_case_and_reference(spark):
@@ -84,6 +137,7 @@ def test_reruns_and_keys(spark):
 def test_odd_rows(spark):
     odd = odd_docs(spark).selectExpr("*", "1 as n_entities", "2 as pos", "3 as part", "'k' as kind", "4 as core", "5 as _parts", "6 as said")
     rows = pii.with_surrogates(odd, KEY).collect()
+    assert keeps_columns(odd, pii.with_surrogates(odd, KEY))
     assert len(rows) == odd.count() and sum(r.n_entities for r in rows) == 0
     assert pii.with_surrogates(docs_of(spark, []), KEY).count() == 0
     twice = docs_of(spark, [(1, "a@b.cd"), (1, "a@b.cd"), (None, "a@b.cd"), (2, None)])

@@ -1,3 +1,4 @@
+import time
 import hashlib
 import random
 import re
@@ -57,3 +58,20 @@ def test_odd_rows(spark):
     assert secrets.scan(docs_of(spark, [])).count() == 0
     copies = docs_of(spark, [(1, "token: 12345678abc"), (1, "token: 12345678abc"), (None, "token: 12345678abc", "en", None)])
     assert [len(r.secrets) for r in secrets.scan(copies).collect()] == [1, 1, 1]
+
+
+def test_many_matches_in_one_text():
+    """Linear in the matches: 60,000 keys, found at once."""
+    rng = random.Random(1)
+    key = lambda: "".join(rng.choices("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789", k=24))
+    text = " ".join(f"token={key()} {key()}" for _ in range(30_000))
+    start = time.perf_counter()
+    found = secrets.spans(text)
+    assert time.perf_counter() - start < 10
+    assert sum(f[1] == 0 for f in found) == 30_000 and sum(f[1] == 4 for f in found) > 29_000
+
+
+def test_shortest_vendor_key_and_overlaps():
+    assert [f[:3] for f in secrets.spans("x xoxb-0123456789 y")] == [(2, 3, 17)]
+    text = "token=ghp_" + "a1B2" * 9 + " ghp_" + "a1B2" * 9
+    assert [f[1] for f in secrets.spans(text)] == [0, 3]

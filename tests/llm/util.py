@@ -22,8 +22,16 @@ def odd_docs(spark: SparkSession) -> DataFrame:
         (None, None, None, None), (5, "x"), (6, long, "en", None), (7, long, None, "src1"), (5, "x"), (8, " \t\n ", "de", "src2"),
     ]
     df = docs_of(spark, rows)
+    clashing = ["__id", "__hash", "_mask", "_removed", "_copies", "_copy", "_n", "_language", "__parts", "__gaps", "lines"]
+    df = df.selectExpr("*", *[f"'mine {c}' as `{c}`" for c in clashing], "'dotted' as `a.b`")
     return df.selectExpr("*", "'r' as rank", "1 as size", "2 as _bucket", "'v' as variant", "'l' as label", "3 as fp")
 
 
 def same_rows(a: DataFrame, b: DataFrame) -> bool:
     return sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+
+
+def keeps_columns(before: DataFrame, after: DataFrame) -> bool:
+    """The user's own columns are all there, with their values."""
+    mine = [c for c in before.columns if c.startswith("_")]
+    return after.select(*mine).distinct().collect() == before.select(*mine).distinct().collect()

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import inspect
 import math
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,6 +23,33 @@ BATCH_ROWS = "4000"
 ROWS_PER_BUCKET = 20_000
 
 
+def columns_apart(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Operator on documents whose other columns may have any name, also one that the operator uses itself.
+
+    Columns that no ``..._col`` argument names pass through under names of their own.  A column that the
+    operator adds stands in for one of the user's with that name.
+    """
+    signature = inspect.signature(operator)
+
+    @wraps(operator)
+    def run(docs: DataFrame, *args: object, **options: object) -> DataFrame:
+        bound = signature.bind(docs, *args, **options)
+        bound.apply_defaults()
+        flat = {**bound.arguments, **bound.arguments.get("options", {})}
+        named = {v for k, v in flat.items() if k.endswith("_col") and v}
+        aside = {c: f"kept_column_{i}" for i, c in enumerate(docs.columns) if c not in named and c not in USED_BY_NAME}
+        back = {v: k for k, v in aside.items()}
+        out = operator(docs.select(*[F.col(f"`{c}`").alias(aside.get(c, c)) for c in docs.columns]), *args, **options)
+        own = set(out.columns) - set(back)
+        return out.select(*[F.col(f"`{c}`").alias(back.get(c, c)) for c in out.columns if back.get(c) not in own])
+
+    return run
+
+
+#: Columns that operators read without an argument for them.
+USED_BY_NAME = ("doc_id", "text", "source", "lang")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -62,6 +91,8 @@ def row_keys(df: DataFrame, id_col: str = "doc_id") -> dict[str, Column]:
 
     Columns of maps take no part.
     """
+    if not isinstance(df.schema[id_col].dataType, T.IntegralType):
+        raise ValueError(f"ids have to be whole numbers; {id_col} is {df.schema[id_col].dataType.simpleString()}")
     columns = [F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     hashed = F.xxhash64(*columns, *[c.isNull() for c in columns])
     return {"__id": F.coalesce(F.col(id_col), F.lit(0)), "__hash": hashed}

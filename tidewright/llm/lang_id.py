@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.llm.common import in_batches, row_keys, stored, text_bytes
+from tidewright.llm.common import columns_apart, in_batches, row_keys, stored, text_bytes
 
 LANGUAGES = ("de", "en", "es", "fr")
 #: Bound of the training sample: documents of each language, those of the least row hashes.
@@ -192,6 +192,7 @@ def identify(
         F.get(names, F.col("best")).alias("text_language"), "accepted")
 
 
+@columns_apart
 def known_language(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options: object) -> DataFrame:
     """``docs`` without the rejected rows, ``lang_col`` set to the language found."""
     found = identify(docs, model, id_col, text_col, declared_col=lang_col, **options)

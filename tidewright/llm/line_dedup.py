@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
-from tidewright.llm.common import in_batches, row_keys, stored, text_bytes
+from tidewright.llm.common import columns_apart, in_batches, row_keys, stored, text_bytes
 
 MIN_WORDS = 50
 
@@ -120,6 +120,7 @@ def without(text: Column, mask: Column) -> Column:
     return F.when(mask.isNull(), text).otherwise(F.array_join(kept, "\n"))
 
 
+@columns_apart
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with later repeated runs of lines deleted from the text, and ``lines_removed``.
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.llm.common import in_batches, numbered, row_keys, same, stored, text_bytes
+from tidewright.llm.common import columns_apart, in_batches, numbered, row_keys, same, stored, text_bytes
 
 CAP = 3.0
 TOLERANCE = 1e-6
@@ -155,6 +155,7 @@ def mix(
     )
 
 
+@columns_apart
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options: object) -> DataFrame:
     """``docs`` with each row as often as the mix takes it."""
     taken = mix(docs, id_col, **options).groupBy("__id", "__hash").agg(F.sum("copies").alias("_copies")).where("_copies > 0")

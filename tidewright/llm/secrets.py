@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -38,7 +39,7 @@ VENDOR = re.compile(
     r"|eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", re.ASCII)
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 #: Length of a word below which only an assignment can be a secret.
-LONG = 16
+LONG = 15
 
 SPAN = T.StructType([
     T.StructField("start", T.IntegerType()), T.StructField("kind", T.IntegerType()), T.StructField("end", T.IntegerType()),
@@ -50,6 +51,19 @@ def entropy(value: str) -> float:
     return -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
 
 
+def merged(found: list[tuple]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the places that spans cover, in order and apart from each other."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for a, _, b, _ in sorted(found):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def spans(text: str) -> list[tuple[int, int, int, str, bool]]:
     """(start, kind, end, hash of the value, looks random) of each candidate, in code points, end exclusive."""
     found = []
@@ -57,11 +71,16 @@ def spans(text: str) -> list[tuple[int, int, int, str, bool]]:
     if any(w in low for w in WORDS):
         found += [(m.start(), 0, m.end(), m[2]) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
     if any(len(w) >= LONG for w in text.split()):
-        for kind, pattern in ((1, ACCESS), (2, HEX), (3, VENDOR), (4, TOKEN)):
+        for kind, pattern in ((1, ACCESS), (2, HEX)):
+            found += [(m.start(), kind, m.end(), m[0]) for m in pattern.finditer(text)]
+        for kind, pattern in ((3, VENDOR), (4, TOKEN)):
+            starts, ends = merged(found)
             for m in pattern.finditer(text):
+                at = bisect_left(starts, m.end()) - 1  # the last place that begins before the match ends
+                if at >= 0 and ends[at] > m.start():
+                    continue
                 mixed = re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])
-                if kind < BASE or not any(a < m.end() and m.start() < b for a, _, b, _ in found) and (
-                        kind == 3 or mixed and entropy(m[0]) >= TOKEN_ENTROPY):
+                if kind == 3 or mixed and entropy(m[0]) >= TOKEN_ENTROPY:
                     found.append((m.start(), kind, m.end(), m[0]))
     return [(a, kind, b, xxh3_128_hexdigest(v.encode()), entropy(v) >= LEAST_ENTROPY) for a, kind, b, v in sorted(found)]
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from tidewright.llm.common import components, in_batches, row_keys, stored, text_bytes
+from tidewright.llm.common import columns_apart, components, in_batches, row_keys, stored, text_bytes
 
 BITS = 64
 SEED = 42
@@ -93,6 +93,7 @@ def near_duplicates(
     return prints.join(labels, "fp").select(id_col, "__hash", "fp", "component_id")
 
 
+@columns_apart
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
     """One row of ``docs`` of each component, that of least id (NULL last), then least hash of the row.
 
