@@ -222,6 +222,17 @@ _MET_VALUES = ["wind_speed", "baro", "air_temp", "rel_humidity", "shortwave", "l
 _JOIN_VALUES = ["wind_speed", "baro", "sig_wave_hgt", "max_wave_hgt", "peak_period", "avg_period"]
 _STREAM_VALUES = [c for c in BINNED_FIELDS if c != "rain_rate"]
 
+#: Bins of all samples by the clock, and every bin between a station's first and last one that closed an hour before the newest sample.
+_STREAM_SERIES = [
+    """steps AS (SELECT *, precipitation_level - lag(precipitation_level) OVER (PARTITION BY site ORDER BY time) AS step,
+                time_bucket(INTERVAL 10 MINUTE, time + INTERVAL 5 MINUTE) AS bin FROM met WHERE site IN (SELECT site FROM runs))""",
+    """full_bins AS (SELECT site, bin AS time, count(*) AS n, avg(air_temperature) AS air_temp,
+                  avg(CASE WHEN step >= 0.2::DOUBLE AND step <= 2.5::DOUBLE THEN step END) AS rain_rate FROM steps GROUP BY site, bin)""",
+    """closing AS (SELECT site, min(time) AS a, max(time) AS b FROM full_bins
+                WHERE time + INTERVAL 10 MINUTE <= (SELECT max(time) + INTERVAL 5 MINUTE FROM steps) - INTERVAL 1 HOUR GROUP BY site)""",
+    "every AS (SELECT site, unnest(generate_series(a, b, INTERVAL 10 MINUTE)) AS time FROM closing)",
+]
+
 ORACLE: dict[str, str] = {
     "flagship": _run(
         f"SELECT site, station_id, file_name, time, {_round(BINNED_FIELDS)} FROM named", True, [BIN_CTES, NAMED_CTE]
@@ -379,6 +390,32 @@ ORACLE: dict[str, str] = {
               SELECT greatest((SELECT max(time) + INTERVAL 5 MINUTE FROM met), (SELECT max(time) - INTERVAL 10 MINUTE FROM wave))
             ) - INTERVAL 1 HOUR)"""]
     ),
+    "stream_rain": _run(
+        f"""SELECT site, time, round(rain_rate, {DIGITS}) AS rain_rate, coalesce(n, 0) AS n_samples FROM every LEFT JOIN full_bins USING (site, time)""",
+        False, _STREAM_SERIES
+    ),
+    "stream_gap_fill": _run(
+        f"""SELECT site, time, round(CASE WHEN air_temp >= -10 AND air_temp <= 30 THEN air_temp END, {DIGITS}) AS air_temp
+        FROM every LEFT JOIN full_bins USING (site, time)""",
+        False, _STREAM_SERIES
+    ),
+    "stream_anchored": _source(
+        f"""SELECT site, bin AS time, round(CASE WHEN baro >= 860 AND baro <= 1050 THEN baro END, {DIGITS}) AS baro,
+          round(CASE WHEN wind_speed <= 60 THEN wind_speed END, {DIGITS}) AS wind_speed,
+          round(CASE WHEN sig_wave_hgt >= 0 AND sig_wave_hgt <= 30 THEN sig_wave_hgt END, {DIGITS}) AS sig_wave_hgt,
+          round(CASE WHEN peak_period >= 0 AND peak_period <= 30 THEN peak_period END, {DIGITS}) AS peak_period
+        FROM (SELECT site, bin, avg(baro) AS baro, avg(speed) AS wind_speed, avg(hgt) AS sig_wave_hgt, avg(period) AS peak_period, any_value(off) AS off
+              FROM placed GROUP BY site, bin)
+        WHERE bin - off + INTERVAL 10 MINUTE <= (SELECT max(moved) FROM placed) - INTERVAL 1 HOUR""",
+        """shifted AS (
+          SELECT site, time + INTERVAL 5 MINUTE AS t, barometric_pressure AS baro, sqrt(eastward_wind_velocity ** 2 + northward_wind_velocity ** 2) AS speed,
+                 NULL::DOUBLE AS hgt, NULL::DOUBLE AS period FROM met
+          UNION ALL SELECT site, time - INTERVAL 10 MINUTE, NULL, NULL, significant_wave_height, peak_period FROM wave),
+        placed AS (
+          SELECT *, t - off AS moved, time_bucket(INTERVAL 10 MINUTE, t - off) + off AS bin
+          FROM (SELECT *, to_minutes(CASE site WHEN 'CE04' THEN 3 WHEN 'CE07' THEN 7 ELSE 0 END) AS off FROM shifted)
+          WHERE site IN (SELECT site FROM wave) AND site IN (SELECT site FROM met))""",
+    ),
     "cleared_bounds": _source(
         """SELECT site, deployment, bin_start, bin_end,
              bin_start + to_minutes(10 * (datediff('microsecond', bin_start, bin_end) // 600000000)) AS grid_end

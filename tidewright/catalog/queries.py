@@ -31,6 +31,7 @@ from tidewright.sources import array_json, events
 from tidewright.sources.landed import LandedTable
 from tidewright.streaming.bins import collect_available, stream_bins
 from tidewright.streaming.landing import land_new_files, rejected_files
+from tidewright.streaming.series import stream_series
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -542,6 +543,34 @@ def stream_bins_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(closed, [f for f in BINNED_FIELDS if f != "rain_rate"])
 
 
+@query("stream_rain")
+def stream_rain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rain of the closed bins of the event stream, empty ones included."""
+    runs = materialize(fresh_runs(spark, sf_dir), "runs")
+    series = collect_available(stream_series(events.as_met(events.event_stream(spark, sf_dir)), runs))
+    return rounded(series.drop("deployment"), ["rain_rate"])
+
+
+@query("stream_gap_fill")
+def stream_gap_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Air temperature of every closed bin of the stream, gaps included."""
+    runs = materialize(fresh_runs(spark, sf_dir), "runs")
+    met, wave = (f(events.event_stream(spark, sf_dir)) for f in (events.as_met, events.as_wave))
+    every = collect_available(stream_series(met, runs)).select(*KEYS, "time")
+    closed = collect_available(stream_bins(met, wave, runs)).select(*KEYS, "time", "air_temp")
+    return rounded(every.join(closed, [*KEYS, "time"], "left").drop("deployment"), ["air_temp"])
+
+
+@query("stream_anchored")
+def stream_anchored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed bins of deployments anchored 0, 3, 7 and 0 minutes off the clock's grid."""
+    minutes_off = F.when(F.col("site") == "CE04", 3).when(F.col("site") == "CE07", 7).otherwise(0)
+    runs = fresh_runs(spark, sf_dir).withColumn("phase", F.make_dt_interval(F.lit(0), F.lit(0), minutes_off, F.lit(0)))
+    met, wave = (f(events.event_stream(spark, sf_dir)) for f in (events.as_met, events.as_wave))
+    closed = collect_available(stream_bins(met, wave, materialize(runs, "runs"))).drop("deployment")
+    return rounded(closed.select("site", "time", "baro", "wind_speed", "sig_wave_hgt", "peak_period"), ["baro", "wind_speed", "sig_wave_hgt", "peak_period"])
+
+
 @query("cleared_bounds")
 def cleared_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each deployment resumes after one of two deployments of a site was cleared; half the events of a site are in each."""
