@@ -416,6 +416,22 @@ ORACLE: dict[str, str] = {
           FROM (SELECT *, to_minutes(CASE site WHEN 'CE04' THEN 3 WHEN 'CE07' THEN 7 ELSE 0 END) AS off FROM shifted)
           WHERE site IN (SELECT site FROM wave) AND site IN (SELECT site FROM met))""",
     ),
+    "late_bins": _source(
+        f"""SELECT m.site, m.bin AS time, round(CASE WHEN m.baro >= 860 AND m.baro <= 1050 THEN m.baro END, {DIGITS}) AS baro,
+          round(CASE WHEN m.air_temp >= -10 AND m.air_temp <= 30 THEN m.air_temp END, {DIGITS}) AS air_temp,
+          round(CASE WHEN m.wind_speed <= 60 THEN m.wind_speed END, {DIGITS}) AS wind_speed, round(m.rain_rate, {DIGITS}) AS rain_rate,
+          round(CASE WHEN w.hgt >= 0 AND w.hgt <= 30 THEN w.hgt END, {DIGITS}) AS sig_wave_hgt
+        FROM means m JOIN issued USING (site) LEFT JOIN waves w ON m.site = w.site AND m.bin = w.bin
+        WHERE m.n_late > 0 AND m.bin + INTERVAL 10 MINUTE <= last_bin_end AND m.bin >= first_bin""",
+        """levels AS (SELECT *, time_bucket(INTERVAL 10 MINUTE, time + INTERVAL 5 MINUTE) AS bin,
+                 precipitation_level - lag(precipitation_level) OVER (PARTITION BY site ORDER BY time) AS step FROM met)""",
+        """means AS (SELECT site, bin, count(*) FILTER (event_id % 50 = 0) AS n_late, avg(barometric_pressure) AS baro, avg(air_temperature) AS air_temp,
+                 avg(sqrt(eastward_wind_velocity ** 2 + northward_wind_velocity ** 2)) AS wind_speed,
+                 avg(CASE WHEN step >= 0.2::DOUBLE AND step <= 2.5::DOUBLE THEN step END) AS rain_rate FROM levels GROUP BY ALL)""",
+        """waves AS (SELECT site, time_bucket(INTERVAL 10 MINUTE, time - INTERVAL 10 MINUTE) AS bin, avg(significant_wave_height) AS hgt FROM wave GROUP BY ALL)""",
+        """issued AS (SELECT site, date_trunc('hour', max(time) FILTER (event_id % 50 <> 0)) AS last_bin_end,
+                 time_bucket(INTERVAL 10 MINUTE, min(time) + INTERVAL 1 HOUR) AS first_bin FROM met GROUP BY site)""",
+    ),
     "cleared_bounds": _source(
         """SELECT site, deployment, bin_start, bin_end,
              bin_start + to_minutes(10 * (datediff('microsecond', bin_start, bin_end) // 600000000)) AS grid_end

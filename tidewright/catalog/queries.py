@@ -24,11 +24,12 @@ from tidewright.operators.dedup import first_per_key
 from tidewright.operators.qc import apply_qc
 from tidewright.operators.rain import rain_rate
 from tidewright.plans import progress as progress_log
+from tidewright.plans.late import reissue_late
 from tidewright.plans.run import observations, plan_runs
 from tidewright.session import materialize, scratch_path
 from tidewright.sinks.text_files import write_text_files, written_files
 from tidewright.sources import array_json, events
-from tidewright.sources.landed import LandedTable
+from tidewright.sources.landed import LandedTable, land
 from tidewright.streaming.bins import collect_available, stream_bins
 from tidewright.streaming.landing import land_new_files, rejected_files
 from tidewright.streaming.series import stream_series
@@ -571,6 +572,28 @@ def stream_anchored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(closed.select("site", "time", "baro", "wind_speed", "sig_wave_hgt", "peak_period"), ["baro", "wind_speed", "sig_wave_hgt", "peak_period"])
 
 
+@query("late_bins")
+def late_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bins that one meteorological sample in fifty, landed after all bins were issued, changes."""
+    met, wave = events.met_samples(spark, sf_dir), events.wave_samples(spark, sf_dir)
+    tables = [LandedTable(spark, scratch_path(spark, "late")) for _ in range(2)]
+    early = met.where("event_id % 50 <> 0")
+    land(early, tables[0].path)
+    land(wave, tables[1].path)
+    ends = bounds.fresh_bounds(bounds.data_bounds(early)).select(
+        *KEYS, F.col("bin_end").alias("last_bin_end"), F.lit(1).cast("bigint").alias("run_id"), F.lit(False).alias("cleared"))
+    issued = materialize(ends, "issued")
+    late = scratch_path(spark, "late")
+    again = lambda: reissue_late(spark, *tables, stations(spark), declinations(spark), issued, late)
+    again()
+    land(met.where("event_id % 50 = 0"), tables[0].path)
+    changed = again()
+    values = ["baro", "air_temp", "wind_speed", "rain_rate", "sig_wave_hgt"]
+    if changed is None:
+        return spark.createDataFrame([], f"site string, time timestamp_ntz, {', '.join(f'{v} double' for v in values)}")
+    return rounded(changed.bins.select("site", "time", *values), values)
+
+
 @query("cleared_bounds")
 def cleared_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each deployment resumes after one of two deployments of a site was cleared; half the events of a site are in each."""

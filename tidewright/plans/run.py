@@ -16,6 +16,7 @@ from tidewright.operators.bins import bin_observations
 from tidewright.operators.bounds import run_bounds, run_days, with_run_constants
 from tidewright.operators.bulletin import bulletin_files, file_names
 from tidewright.operators.qc import apply_qc
+from tidewright.plans.late import reissue_late
 from tidewright.plans.progress import clear_progress, latest_progress, read_progress, save_progress
 from tidewright.session import materialize
 from tidewright.sinks.text_files import check_path, write_text_files, written_files
@@ -159,10 +160,12 @@ def land_directory(spark: SparkSession, root: str, stations: DataFrame, landed_p
 
 def run_directory(
     spark: SparkSession, root: str, stations: DataFrame, declinations: DataFrame, out_path: str,
-    progress_path: str, landed_path: str, **options,
+    progress_path: str, landed_path: str, late: bool = False, **options,
 ) -> RunResult | None:
     """Land the files that are new under ``root``, then run on the landed samples.
 
+    With ``late`` the bins and files that late samples change are issued again first, see ``plans.late``.
+
     Files landed by an earlier call are not parsed again; what is wrong with a file is recorded under
     ``<landed_path>/rejected_<instrument>``.  An instrument without
     any landed sample raises ``FileNotFoundError``.
@@ -174,4 +177,8 @@ def run_directory(
         landed[instrument] = LandedTable(spark, path)
         if landed[instrument].zones().isEmpty():
             raise FileNotFoundError(f"no readable {instrument} files under {root}")
+    if late:
+        reissue_late(
+            spark, landed["metbk"], landed["wavss"], stations, declinations, read_progress(spark, progress_path), f"{landed_path}/late", out_path,
+            options.get("as_of"))
     return run(spark, landed["metbk"], landed["wavss"], stations, declinations, out_path, progress_path, **options)

@@ -2,7 +2,7 @@
 
 Each row names a file relative to the target folder.  On file systems a file is written under a
 temporary name and moved into place, so a retried or doubled task leaves the same file; the
-temporary folder of the job goes at its end, also when it fails.  On object stores a file appears only when
+temporary folder of the job goes at its end, also when it fails (a task that still runs then may leave its last file there).  On object stores a file appears only when
 it is complete, so it is written in place.  Any file system known to Arrow can be the target.
 
 A task lists what it wrote in a file of its own and tells the driver only where that is.  When the job commits, the lists of the
