@@ -123,7 +123,7 @@ def test_query_equals_the_library(spark, tokenizer, sf):
 def test_odd_rows(spark, tokenizer, tmp_path, monkeypatch):
     monkeypatch.setattr(bpe, "SLICE", 1000)
     extra = docs_of(spark, [(100 + i, t) for i, t in enumerate(TEXTS)]).selectExpr("*", "'r' as rank", "1 as size", "2 as _bucket", "'v' as variant", "'l' as label", "3 as fp")
-    docs = odd_docs(spark).union(extra).selectExpr("*", "1 as ids", "'w' as word", "2 as n", "3 as text_bytes")
+    docs = odd_docs(spark).unionByName(extra, allowMissingColumns=True).selectExpr("*", "1 as ids", "'w' as word", "2 as n", "3 as text_bytes")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     check_query([(r.doc_id, r.text) for r in docs.collect()], bpe_round_trip(spark, str(tmp_path)), tokenizer)
 

@@ -1,4 +1,5 @@
 import math
+import re
 
 import numpy as np
 import pytest
@@ -6,9 +7,12 @@ from pyspark.sql import functions as F
 
 from tests.llm.util import docs_of, odd_docs
 from tidewright.llm import lang_id
+from tidewright.llm.queries import page_language
 
 SF = "/root/testdata/sf0.01"
 
+SF_PAGES = "/root/testdata/sf0.001"
+
 
 @pytest.fixture(scope="module")
 def docs(spark):
@@ -104,3 +108,19 @@ def test_host_of(spark):
     urls = [("https://m.a.example.com/x?y", "m.a.example.com"), ("//b.de", "b.de"), ("http://u:p@c.fr:80/", "c.fr"), ("nothing", ""), ("HTTP://D.ES#t", "d.es")]
     got = spark.createDataFrame(urls, "u string, h string").select(lang_id.host_of(F.col("u")), "h").collect()
     assert all(a == b for a, b in got)
+
+
+def test_pages_equal_brute_force(spark):
+    """The query's markup, text and suffix against plain Python over every page."""
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_PAGES}/pages.parquet").select("page_id", "url", "html").collect()]
+    plain = []
+    for key, url, html in rows:
+        said = re.search(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", html or "", re.I)
+        text = None if html is None else re.sub(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ", html)
+        plain.append((key, url, said[1] if said else "", text))
+    pages = spark.createDataFrame(plain, "page_id long, url string, declared string, text string")
+    model = lang_id.train(spark.read.parquet(f"{SF_PAGES}/documents.parquet"))
+    want = lang_id.identify(pages, model, "page_id", declared_col="declared", host_col=None, url_col="url")
+    want = {r.page_id: (r.language, round(r.posterior, 6), r.text_language, r.accepted) for r in want.collect()}
+    got = {r.page_id: (r.language, r.posterior, r.text_language, r.accepted) for r in page_language(spark, SF_PAGES).collect()}
+    assert got == want and len(got) == len(rows)

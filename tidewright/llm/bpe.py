@@ -9,6 +9,7 @@ hold is merged by the ranks of the vocabulary, pair by pair.  The result does no
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import os
@@ -17,6 +18,7 @@ import unicodedata
 from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -395,6 +397,16 @@ def lexicon(path: str) -> Lexicon:
     return Lexicon(path)
 
 
+@contextmanager
+def no_collector() -> Iterator[None]:
+    """Without Python's cyclic collector, which walks the many small lists of a batch again and again; there are no cycles."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 def word_counts(docs: DataFrame, text_col: str, tokenizer_path: str | None) -> DataFrame:
     """(word, n) of all words of all texts, added up in tasks before they are shuffled."""
     schema = T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())])
@@ -406,10 +418,11 @@ def word_counts(docs: DataFrame, text_col: str, tokenizer_path: str | None) -> D
 
         def told() -> pa.RecordBatch:
             words: Counter[bytes] = Counter()
-            for part, n in counts.items():
-                for piece in known.pieces(part):
-                    if isinstance(piece, bytes) and len(piece) <= LEXICON_LETTERS:
-                        words[piece] += n
+            with no_collector():
+                for part, n in counts.items():
+                    for piece in known.pieces(part):
+                        if isinstance(piece, bytes) and len(piece) <= LEXICON_LETTERS:
+                            words[piece] += n
             counts.clear()
             return pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.binary()), pa.array(words.values(), pa.int64())], schema=out)
 
@@ -507,7 +520,8 @@ def encode(
                 parts = {p for text in texts for part in slices(text) for p in words_of(part)}
                 if len(table) > KEPT_PARTS:
                     table.clear()
-                table |= encoded_words(parts.difference(table), known, held, special)
+                with no_collector():
+                    table |= encoded_words(parts.difference(table), known, held, special)
                 ids = [b"".join(b"".join(map(table.__getitem__, words_of(part))) for part in slices(text)) for text in texts]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], schema=out)
 
