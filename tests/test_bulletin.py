@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidewright.functions import text
 from tidewright.model import KEYS
 from tidewright.operators.bulletin import bulletin_files, file_names
-from tidewright.sinks.text_files import write_text_files
+from tidewright.sinks.text_files import write_text_files, written_files
 
 FIELDS = {
     "wind_dir": 270.0, "wind_speed": 5.0, "baro": 1013.0, "air_temp": 12.0, "rel_humidity": 80.0, "shortwave": 200.0,
@@ -74,10 +74,14 @@ def test_longer_than_a_day_is_split(spark, hours, files):
 
 def test_sink_writes_replaces_and_keeps_bytes(spark, tmp_path):
     df = spark.createDataFrame([("a/one.xml", "café\nend"), ("b/two.xml", "x")], "file string, content string")
-    for _ in range(2):
-        write_text_files(df.repartition(2), str(tmp_path), encoding="ISO-8859-1")
+    names = [write_text_files(df.repartition(2), str(tmp_path), encoding="ISO-8859-1") for _ in range(2)]
     assert (tmp_path / "a/one.xml").read_bytes() == b"caf\xe9\nend"
-    assert sorted(str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*") if p.is_file()) == ["a/one.xml", "b/two.xml"]
+    # besides the files there is a manifest of each job, and nothing else
+    held = sorted(str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*") if p.is_file() and "_manifests" not in p.parts)
+    assert held == ["a/one.xml", "b/two.xml"]
+    assert sorted(p.name for p in (tmp_path / "_manifests").iterdir()) == sorted(names)
+    for name in names:
+        assert {(r.file, r.bytes) for r in written_files(spark, str(tmp_path), name).collect()} == {("a/one.xml", 8), ("b/two.xml", 1)}
 
 
 def test_empty_sink_raises(spark, tmp_path):
