@@ -3,7 +3,9 @@
 Vectors are scaled to length 1 and cut in two halves; each half has its own centroids, fitted on a
 bounded sample.  An entry lies in the cell of its two nearest centroids.  A query walks the
 pairs of centroids by summed distance with a heap until their cells hold enough entries, and these are
-ranked by the exact cosine of the original vectors.
+ranked by the exact cosine of the original vectors.  How many are enough is measured when the index is built: the
+true neighbours of a bounded sample of entries, found among all entries, say how far walks have to go for the recall asked
+for.  Clustered vectors need few entries whatever the size of the table; vectors without structure need a share of it.
 
 Equal vectors are one entry with the ids of its least few rows, so copies cost nothing; a cell is searched
 in blocks of entries and queries, each one numpy product that returns the best few of every query.
@@ -29,12 +31,19 @@ TRAIN_ROWS = 20_000
 #: Entries a cell that the number of centroids aims at, and most centroids of a half (a million cells).
 CELL_ENTRIES = 0.5
 MOST_CENTROIDS = 1_024
-#: Share of all entries, and least number of them, that the cells of a query hold before its walk ends.  Vectors
-#: without structure need such a share for a recall of 0.9; clustered ones reach it with far less.
-SHARE = 0.25
+#: Recall that the length of the walks is set for, and the entries and neighbours of each that it is measured on.
+RECALL = 0.94
+MEASURED_ROWS = 256
+MEASURED_NEAREST = 5
+#: Least number of entries that the cells of a query hold before its walk ends.
 LEAST_CANDIDATES = 4_000
+#: Scores of one product that lie closer than this are told apart by the exact cosine.
+MARGIN = 1e-9
 #: Entries and queries of one block.
 BLOCK = 2_048
+#: Queries of one product, and the score of entries of other cells.
+PRODUCT = 256
+OUTSIDE = -2.0
 ROUNDS = 12
 
 Rows = Iterator[tuple]
@@ -98,12 +107,16 @@ def walk(a: np.ndarray, b: np.ndarray, entries: np.ndarray, wanted: int) -> dict
 
 @dataclass
 class MultiIndex:
-    """Centroids of both halves and the entries (vector, ids, a, b), a stored table; ``sizes`` counts each cell (a, b)."""
+    """Centroids of both halves and the entries (vector, ids, a, b), a stored table; ``sizes`` counts each cell (a, b).
+
+    ``reach`` is the number of entries that walks have to pass for the recall asked for.
+    """
 
     halves: tuple[np.ndarray, np.ndarray]
     entries: DataFrame
     sizes: np.ndarray
     keep: int
+    reach: int = 0
 
     @property
     def length(self) -> int:
@@ -117,7 +130,8 @@ def unit_halves(vectors: list[list[float]], at: int) -> tuple[np.ndarray, np.nda
 
 
 def build(
-    vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", *, keep: int = 6, train_rows: int = TRAIN_ROWS
+    vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", *, keep: int = 6, train_rows: int = TRAIN_ROWS,
+    recall: float = RECALL,
 ) -> MultiIndex | None:
     """Index of every row that takes part; None if there is none.
 
@@ -146,7 +160,38 @@ def build(
     sizes = np.zeros((k, k), np.int64)
     for i, j, count in entries.groupBy("a", "b").count().collect():  # at most MOST_CENTROIDS ** 2 rows
         sizes[i, j] = count
-    return MultiIndex(halves, entries, sizes, keep)
+    index = MultiIndex(halves, entries, sizes, keep)
+    index.reach = reach(index, [r[0] for r in sample[:MEASURED_ROWS]], recall)
+    return index
+
+
+def reach(index: MultiIndex, sample: list[list[float]], recall: float, nearest: int = MEASURED_NEAREST) -> int:
+    """Entries that walks have to pass so that they meet the share ``recall`` of the true neighbours of ``sample``.
+
+    The sample is held against all entries, batch by batch; each batch returns its best few of every sampled vector.
+    """
+    asked = np.hstack(unit_halves(sample, len(sample[0]) // 2))
+
+    def work(batch: list[tuple]) -> Rows:
+        scores = np.hstack(unit_halves([r[0] for r in batch], asked.shape[1] // 2)) @ asked.T
+        for q, best in enumerate(np.argsort(-scores, axis=0)[: nearest + 1].T.tolist()):
+            yield from ((q, float(scores[e, q]), *batch[e][1:]) for e in best)
+
+    schema = T.StructType([T.StructField("q", T.LongType()), T.StructField("score", T.DoubleType()),
+                           T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+    met = in_batches(index.entries, [F.col(c) for c in ("vector", "a", "b")], work, schema)
+    order = Window.partitionBy("q").orderBy(F.desc("score"), "a", "b")
+    # the first of each is the sampled entry itself; at most MEASURED_ROWS * MEASURED_NEAREST rows
+    true = met.withColumn("n", F.row_number().over(order)).where(F.col("n").between(2, nearest + 1)).select("q", "a", "b").collect()
+    if not true:
+        return 1
+    halves = unit_halves(sample, index.halves[0].shape[1])
+    x, y = (distances(h, c) for h, c in zip(halves, index.halves, strict=True))
+    passed = []
+    for q, a, b in true:
+        sums = x[q][:, None] + y[q]
+        passed.append(int(index.sizes[sums <= sums[a, b]].sum()))
+    return sorted(passed)[math.ceil(recall * len(passed)) - 1]
 
 
 def cosines(query: np.ndarray, entries: np.ndarray) -> np.ndarray:
@@ -163,7 +208,7 @@ def search(index: MultiIndex, queries: DataFrame, id_col: str = "vec_id", vector
     if k >= index.keep:
         raise ValueError("the index keeps too few ids of equal vectors")
     halves, sizes = index.halves, index.sizes
-    wanted = candidates or max(LEAST_CANDIDATES, math.ceil(SHARE * sizes.sum()))
+    wanted = candidates or max(LEAST_CANDIDATES, index.reach)
     asked = usable(queries, id_col, vector_col).where(F.size("vector") == index.length).distinct()
 
     def route(batch: list[tuple]) -> Rows:
@@ -189,12 +234,22 @@ def search(index: MultiIndex, queries: DataFrame, id_col: str = "vec_id", vector
         if len(asking) and len(held):
             ids, cell = held["ids"].to_list(), held["b"].to_numpy()
             least, matrix = np.array([i[0] for i in ids]), scaled(held["vector"].to_list())
-            for key, q, cells in zip(asking["id"].tolist(), scaled(asking["vector"].to_list()), asking["cells"], strict=True):
-                at = np.flatnonzero(np.isin(cell, cells))
-                row = cosines(q, matrix[at])
+            unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+            for from_ in range(0, len(asking), PRODUCT):
+                some = asking.iloc[from_ : from_ + PRODUCT]
+                q = scaled(some["vector"].to_list())
+                opened = np.zeros((len(some), len(sizes)), bool)
+                for row, cells in zip(opened, some["cells"], strict=True):
+                    row[cells] = True
+                near = np.where(opened[:, cell], (q / np.linalg.norm(q, axis=1, keepdims=True)) @ unit.T, OUTSIDE)
                 # of k + 1 entries at most one is the query alone
-                top = [(-row[e], i) for e in np.lexsort((least[at], -row))[: k + 1] for i in ids[at[e]] if i != key]
-                found += [(key, i, -x) for x, i in sorted(top)[:k]]
+                last = np.partition(near, -k - 1, axis=1)[:, [-k - 1]] if len(ids) > k + 1 else OUTSIDE
+                few = (near >= last - MARGIN) & (near > OUTSIDE)
+                for key, vector, row in zip(some["id"].tolist(), q, few, strict=True):
+                    at = np.flatnonzero(row)
+                    exact = cosines(vector, matrix[at])
+                    top = [(-exact[e], i) for e in np.lexsort((least[at], -exact))[: k + 1] for i in ids[at[e]] if i != key]
+                    found += [(key, i, -x) for x, i in sorted(top)[:k]]
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
     keys = ["a", "block", "part"]
