@@ -43,6 +43,8 @@ MARGIN = 1e-9
 BLOCK = 2_048
 #: Queries of one product, and the score of entries of other cells.
 PRODUCT = 256
+#: Queries that one task walks for.
+WALKS = 128
 OUTSIDE = -2.0
 ROUNDS = 12
 
@@ -219,6 +221,8 @@ def search(index: MultiIndex, queries: DataFrame, id_col: str = "vec_id", vector
                 yield key, vector, i, cells
 
     schema = T.StructType([*asked.schema.fields, T.StructField("a", T.LongType()), T.StructField("cells", T.ArrayType(T.IntegerType()))])
+    asked = stored(asked, "asked")
+    asked = asked.repartition(max(1, math.ceil(asked.count() / WALKS)), "id")
     routed = stored(in_batches(asked, [F.col("id"), F.col("vector")], route, schema), "routed")
     asks = np.zeros(len(sizes), np.int64)
     for i, count in routed.groupBy("a").count().collect():  # at most MOST_CENTROIDS rows
