@@ -1,13 +1,15 @@
 """Sharding by extendible hashing.
 
-A shard is a prefix of the bits of a row's hash.  Only prefixes whose rows exceed the byte limit are split on
-another bit, until each fits.  Splits are taken some bits at a time: one aggregation by the longest prefix of the
-round gives, by rolling up, the bytes of every shorter one, and rows whose shard fits leave the next round.
+A shard is a bucket: the rows whose hashes begin with the same bits, as many as its local depth.  The directory has a
+slot for each hash prefix of the global depth that rows have, with the bytes of its rows, and points it to a bucket.  All
+slots begin in one bucket; a bucket over the byte limit is split on its next bit, which only concerns its own slots, until every
+bucket fits.  Where a single slot is still over the limit the directory is extended: rows of such slots alone get slots of more bits.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,19 +28,52 @@ def hash_bits(key: Column) -> Column:
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, BITS // 4), 16, 10).cast("long")
 
 
-def shards_of_round(rows: DataFrame, done: int, depth: int, limit: int) -> DataFrame:
-    """(prefix, at): for each prefix of ``depth`` bits the length of its shard, NULL where even the prefix is over the limit.
+def slots(rows: DataFrame, depth: int) -> DataFrame:
+    """(slot, bytes, rows, low, high): the slots of a directory of global depth ``depth``, with the least and greatest hash in each.
 
-    A shard of one row fits whatever its size.
+    Hash prefixes without rows have no slot.
     """
-    leaf = F.shiftright("bits", BITS - depth)
-    leaves = rows.groupBy(leaf.alias("prefix")).agg(F.sum("bytes").alias("bytes"), F.count("*").alias("rows"))
-    levels = leaves.withColumn("at", F.explode(F.sequence(F.lit(done), F.lit(depth))))
-    upper = F.expr(f"shiftright(prefix, {depth} - at)")
-    sums = levels.groupBy("at", upper.alias("upper")).agg(F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
-    fit = sums.where((F.col("bytes") <= limit) | (F.col("rows") == 1)).select("at", "upper")
-    ends = levels.select("prefix", "at", upper.alias("upper")).join(fit, ["at", "upper"]).groupBy("prefix").agg(F.min("at").alias("at"))
-    return leaves.select("prefix").join(ends, "prefix", "left")
+    of = rows.groupBy(F.shiftright("bits", BITS - depth).alias("slot"))
+    return of.agg(F.sum("bytes").alias("bytes"), F.count("*").alias("rows"), F.min("bits").alias("low"), F.max("bits").alias("high"))
+
+
+def split(open_: DataFrame, at: int, depth: int, limit: int) -> tuple[DataFrame, DataFrame]:
+    """(slot, at, paged) of the slots of ``open_`` whose bucket of ``at`` bits ends here, and the slots of those to split.
+
+    A bucket of one row fits whatever its size.  One whose rows agree in all bits can never be split: it gets all
+    bits, and pages.
+    """
+    bucket = F.shiftright("slot", depth - at).alias("bucket")
+    held = open_.groupBy(bucket).agg(
+        F.sum("bytes").alias("held"), F.sum("rows").alias("n"), F.min("low").alias("least"), F.max("high").alias("most"))
+    fits = (F.col("held") <= limit) | (F.col("n") == 1)
+    # stored, so that its size is known: few buckets are broadcast, and many leave no hot one in the join
+    buckets = stored(held.select("bucket", fits.alias("fits"), (~fits & F.expr("least = most")).alias("paged")), "buckets")
+    told = stored(open_.withColumn("bucket", bucket).join(buckets, "bucket").drop("bucket"), "slots")
+    ended = F.when(F.col("paged"), BITS).otherwise(at).alias("at")
+    return told.where("fits or paged").select("slot", ended, "paged"), told.where("not fits and not paged").drop("fits", "paged")
+
+
+def point(rows: DataFrame, done: int, depth: int, limit: int) -> tuple[DataFrame, DataFrame]:
+    """(slot, at, paged) of all slots whose bucket is final, of ``at`` bits, and the slots that are oversized by themselves.
+
+    ``done`` bits are known to be too few.  A bucket is split once a step, so a step reads the slots of oversized buckets only.
+    """
+    left, pointed = stored(slots(rows, depth), "slots"), []
+    for at in range(done, depth + 1):
+        ends, left = split(left, at, depth, limit)
+        pointed.append(ends)
+        if left.isEmpty():
+            break
+    return stored(reduce(DataFrame.unionByName, pointed), "directory"), left
+
+
+def pages(rows: DataFrame, limit: int) -> DataFrame:
+    """``rows`` of buckets that cannot be split with ``page``, each page of as many rows as surely fit."""
+    rows = stored(rows, "paged")
+    counted = numbered(rows, ["bits"], ["bytes", "__id", "__hash"], "page", rows=rows.count())
+    most = rows.groupBy("bits").agg(F.greatest(F.lit(1), F.floor(F.lit(limit) / F.max("bytes"))).alias("each"))
+    return counted.join(most, "bits").withColumn("page", F.floor(F.col("page") / F.col("each")).cast("long")).drop("each")
 
 
 def assign(rows: DataFrame, limit: int = LIMIT) -> DataFrame:
@@ -50,25 +85,20 @@ def assign(rows: DataFrame, limit: int = LIMIT) -> DataFrame:
     total, n = rows.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count("*")).first()
     if not n:
         return rows.select("*", F.lit("").alias("shard"), F.lit(0).cast("long").alias("page"))
-    done, depth = 0, min(BITS, math.ceil(math.log2(max(1, total / limit))) + SPARE_BITS)
+    done, depth = 0, max(1, min(BITS, math.ceil(math.log2(max(1, total / limit))) + SPARE_BITS))
     left, parts = rows, []
     while True:
-        ends = stored(shards_of_round(left, done, depth, limit), "shards")
-        placed = left.withColumn("prefix", F.shiftright("bits", BITS - depth)).join(ends, "prefix").drop("prefix")
-        parts.append(placed.where("at is not null").withColumn("page", F.lit(0).cast("long")))
-        if ends.where("at is null").isEmpty():
-            break
-        left = stored(placed.where("at is null").drop("at"), "oversized")
-        if depth == BITS:
-            counted = numbered(left, ["bits"], ["bytes", "__id", "__hash"], "page", rows=left.count())
-            most = left.groupBy("bits").agg(F.greatest(F.lit(1), F.floor(F.lit(limit) / F.max("bytes"))).alias("each"))
-            paged = counted.join(most, "bits").withColumn("page", F.floor(F.col("page") / F.col("each")).cast("long")).drop("each")
-            parts.append(paged.withColumn("at", F.lit(BITS)).select(parts[0].columns))
+        pointed, over = point(left, done, depth, limit)
+        placed = left.withColumn("slot", F.shiftright("bits", BITS - depth))
+        ended = placed.join(pointed, "slot").drop("slot")
+        parts.append(ended.where("not paged").drop("paged").withColumn("page", F.lit(0).cast("long")))
+        if not pointed.where("paged").isEmpty():
+            parts.append(pages(ended.where("paged").drop("paged"), limit))
+        if over.isEmpty():
             break
+        left = stored(placed.join(over.select("slot"), "slot", "left_semi").drop("slot"), "oversized")
         done, depth = depth + 1, min(BITS, depth + STEP_BITS)
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
+    every = reduce(DataFrame.unionByName, parts)
     return every.withColumn("shard", F.expr(f"substring(lpad(bin(bits), {BITS}, '0'), 1, at)")).drop("at")
 
 
