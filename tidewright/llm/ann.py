@@ -88,23 +88,30 @@ def nearest(points: np.ndarray, centroids: np.ndarray) -> np.ndarray:
 def walk(a: np.ndarray, b: np.ndarray, entries: np.ndarray, wanted: int) -> dict[int, list[int]]:
     """Pairs of centroids in order of ``a[i] + b[j]`` until their cells hold ``wanted`` entries: by i, the j of cells in use.
 
-    Of each i one pair waits in the heap; the next i joins when the one before it is first taken.
+    Of each i the next cell in use waits in the heap; an i joins once no pair of it can come before the heap's first.
     """
-    rows, columns = np.argsort(a, kind="stable").tolist(), np.argsort(b, kind="stable").tolist()
-    x, y, held = a[rows].tolist(), b[columns].tolist(), 0
-    heap, cells = [(x[0] + y[0], 0, 0)], {}
-    while heap and held < wanted:
+    rows, columns = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
+    x, y, entries = a[rows], b[columns], np.asarray(entries)
+    bounds, heap, lines, cells, held = (x + y[0]).tolist(), [], [], {}, 0
+    while held < wanted:
+        while len(lines) < len(bounds) and (not heap or bounds[len(lines)] <= heap[0][0]):
+            i = len(lines)
+            counts = entries[rows[i]][columns]
+            used = np.flatnonzero(counts)
+            lines.append(((x[i] + y[used]).tolist(), columns[used].tolist(), counts[used].tolist(), cells.setdefault(int(rows[i]), [])))
+            if len(used):
+                heapq.heappush(heap, (lines[i][0][0], i, 0))
+        if not heap:
+            break
         _, i, j = heap[0]
-        if j + 1 < len(y):
-            heapq.heapreplace(heap, (x[i] + y[j + 1], i, j + 1))
+        sums, of, counts, taken = lines[i]
+        taken.append(of[j])
+        held += counts[j]
+        if j + 1 < len(sums):
+            heapq.heapreplace(heap, (sums[j + 1], i, j + 1))
         else:
             heapq.heappop(heap)
-        if not j and i + 1 < len(x):
-            heapq.heappush(heap, (x[i + 1] + y[0], i + 1, 0))
-        if n := entries[rows[i]][columns[j]]:
-            cells.setdefault(rows[i], []).append(columns[j])
-            held += n
-    return cells
+    return {i: taken for i, taken in cells.items() if taken}
 
 
 @dataclass
@@ -215,9 +222,8 @@ def search(index: MultiIndex, queries: DataFrame, id_col: str = "vec_id", vector
 
     def route(batch: list[tuple]) -> Rows:
         a, b = unit_halves([r[1] for r in batch], halves[0].shape[1])
-        counts = sizes.tolist()
         for (key, vector), x, y in zip(batch, distances(a, halves[0]), distances(b, halves[1]), strict=True):
-            for i, cells in walk(x, y, counts, wanted).items():
+            for i, cells in walk(x, y, sizes, wanted).items():
                 yield key, vector, i, cells
 
     schema = T.StructType([*asked.schema.fields, T.StructField("a", T.LongType()), T.StructField("cells", T.ArrayType(T.IntegerType()))])
