@@ -3,6 +3,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,3 +106,54 @@ def test_the_state_store_of_the_session_stays(spark, tmp_path):
     stream = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in"))
     run_available(stream_series(stream, constants(spark)), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
     assert spark.conf.get(name, None) == before
+
+
+class Held:
+    """A value state that counts what is written to it."""
+
+    def __init__(self):
+        self.value, self.writes = None, 0
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value, self.writes = value, self.writes + 1
+
+
+class Handle:
+    def __init__(self):
+        self.held = Held()
+
+    def getValueState(self, name, schema):
+        return self.held
+
+
+def test_a_deployment_sees_one_row_a_bin_and_writes_its_state_once_a_batch():
+    """Not one read and write of the state for each bin of each chunk of samples, as it was."""
+    columns = ["site", "deployment", "cell", "first_level", "last_level", "n_samples", "n_steps", "total"]
+    chunk = lambda *rows: pd.DataFrame([("CE02", "D1", *r) for r in rows], columns=columns)
+    handle, series, key = Handle(), Series(), ("CE02", "D1")
+    series.init(handle)
+    first = [chunk((13, 4.0, None, 2, 0, 0.0), (10, 1.0, 1.5, 3, 2, 0.5)), chunk((11, 2.0, 2.0, 1, 0, 0.0))]
+    out = pd.concat(series.handleInputRows(key, iter(first), None))
+    assert handle.held.writes == 1
+    told = [(r.cell, None if pd.isna(r.rain_rate) else r.rain_rate, r.n_samples) for r in out.itertuples()]
+    assert told == [(10, 0.25, 3), (11, 0.5, 1), (12, None, 0), (13, 2.0, 2)]
+    # a bin that has left is passed over; the level before is NULL, so the edge has no increment
+    out = pd.concat(series.handleInputRows(key, iter([chunk((15, 5.0, 6.0, 2, 1, 1.0), (13, 9.0, 9.0, 1, 0, 0.0))]), None))
+    told = [(r.cell, None if pd.isna(r.rain_rate) else r.rain_rate, r.n_samples) for r in out.itertuples()]
+    assert told == [(14, None, 0), (15, 1.0, 2)] and handle.held.writes == 2
+    assert pd.concat(series.handleInputRows(key, iter([chunk((15, 1.0, 1.0, 1, 0, 0.0))]), None)).empty
+    assert handle.held.writes == 2
+
+
+def test_samples_are_gathered_by_bin_before_the_deployment(spark, tmp_path):
+    put(spark, tmp_path / "in", samples()[:50])
+    stream = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in"))
+    plan = stream_series(stream, constants(spark))._jdf.queryExecution().analyzed().toString()
+    below = plan[plan.index("TransformWithState"):]
+    assert "Aggregate" in below and below.index("Aggregate") < below.index("DeduplicateWithinWatermark")

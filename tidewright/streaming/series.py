@@ -1,10 +1,11 @@
 """Rain and empty bins of the sample stream, by keyed state.
 
-Rain needs the sample before, and a gap shows only when a later bin closes: both need what a deployment had last.  Its state holds
-the samples of the bins still open, the last level before them and the first bin not yet closed.  A timer at the end of the earliest
-open bin fires when the watermark has passed it; then all closed bins leave in order, with the empty ones between them.
+Rain needs the sample before, and a gap shows only when a later bin closes: both need what a deployment had last.  Samples are
+de-duplicated and gathered bin by bin, spread over all tasks; a bin leaves once the watermark has passed it, with the increments
+inside it added up.  Only then do the bins of a deployment meet: its state is the last level before them and how far they have left.
+The increment across a bin's edge, and the empty bins between, are added there.
 
-The state of a deployment is one sample a minute over the watermark's delay.  RocksDB keeps it, so it need not fit in memory.
+A task for one deployment sees one row a bin, bounded by the calendar (52,560 a year), however many samples there are.
 """
 
 from __future__ import annotations
@@ -12,18 +13,20 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidewright.functions.timegrid import instant_to_ntz, ntz_to_instant
-from tidewright.model import BIN_MINUTES, KEYS, MET_SHIFT_MINUTES
-from tidewright.operators.rain import RAIN_MAX, RAIN_MIN
+from tidewright.model import BIN, BIN_MINUTES, KEYS, MET_SHIFT_MINUTES
+from tidewright.operators.rain import RAIN_MAX, RAIN_MIN, valid_increment
 from tidewright.streaming.bins import DELAY, phase_of
 
 CELL_MICROS = BIN_MINUTES * 60_000_000
 OUT = "site string, deployment string, cell long, rain_rate double, n_samples long"
+OUT_COLUMNS = ["site", "deployment", "cell", "rain_rate", "n_samples"]
 
 
 def increments(levels: list[float], before: float) -> list[float]:
@@ -33,51 +36,36 @@ def increments(levels: list[float], before: float) -> list[float]:
 
 
 class Series(StatefulProcessor):
-    """Bins of one deployment in order, each once; samples of a bin that has left come too late."""
+    """Closed bins of one deployment in order, each once, with the empty ones between them."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getMapState("open", "cell long", "micros array<long>, levels array<double>")
-        self.past = handle.getValueState("past", "level double, next_cell long")
+        self.past = handle.getValueState("past", "level double, left long")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
-        next_cell = self.past.get()[1] if self.past.exists() else None
-        for chunk in rows:
-            for cell, part in chunk.groupby("cell"):
-                cell = int(cell)
-                if next_cell is not None and cell < next_cell:
-                    continue
-                micros, levels = map(list, self.open.getValue((cell,))) if self.open.containsKey((cell,)) else ([], [])
-                held = dict(zip(micros, levels))
-                for m, level in zip(part["micros"].tolist(), part["level"].astype(float).tolist()):
-                    held.setdefault(m, level)  # of copies of a time stamp the first to arrive
-                self.open.updateValue((cell,), (list(held), list(held.values())))
-                self.handle.registerTimer(self.due(cell))
-        yield pd.DataFrame(columns=["site", "deployment", "cell", "rain_rate", "n_samples"])
+        closed = pd.concat(list(rows)).sort_values("cell")
+        level, left = self.past.get() if self.past.exists() else (None, self.due(int(closed["cell"].min()) - 1))
+        closed = closed[self.due(closed["cell"]) > left]
+        if closed.empty:
+            yield pd.DataFrame(columns=OUT_COLUMNS)
+            return
+        cells = closed["cell"].to_numpy(np.int64)
+        first, last = (closed[c].astype(float).tolist() for c in ("first_level", "last_level"))
+        edges = [increments([a], before) for a, before in zip(first, [math.nan if level is None else level, *last])]
+        n = closed["n_steps"].to_numpy() + [len(e) for e in edges]
+        total = closed["total"].to_numpy() + [sum(e) for e in edges]
+        start = (left + 1) // (CELL_MICROS // 1000)
+        every = pd.DataFrame({"cell": np.arange(start, cells[-1] + 1), "rain_rate": np.nan, "n_samples": 0}).astype({"rain_rate": object})
+        every.loc[cells - start, "rain_rate"] = [t / k if k else None for t, k in zip(total.tolist(), n.tolist())]
+        every.loc[cells - start, "n_samples"] = closed["n_samples"].to_numpy(np.int64)
+        self.past.update((last[-1], self.due(int(cells[-1]))))
+        every["rain_rate"] = every["rain_rate"].where(every["rain_rate"].notna(), None)
+        yield every.assign(site=key[0], deployment=key[1])[OUT_COLUMNS]
 
     @staticmethod
     def due(cell: int) -> int:
-        """Milliseconds of a bin's end, less one: timers fire once the watermark is beyond them."""
+        """Milliseconds of a bin's end, less one: it leaves once the watermark is beyond them."""
         return (cell + 1) * (CELL_MICROS // 1000) - 1
 
-    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        closed = sorted(c for (c,) in self.open.keys() if self.due(c) < watermark)
-        if closed:
-            level, next_cell = self.past.get() if self.past.exists() else (math.nan, closed[0])
-            out = []
-            for cell in closed:
-                out += [(*key, gap, None, 0) for gap in range(next_cell, cell)]
-                micros, levels = self.open.getValue((cell,))
-                ordered = [x for _, x in sorted(zip(micros, levels), key=lambda s: s[0])]
-                ordered = [math.nan if x is None else x for x in ordered]
-                rain = increments(ordered, math.nan if level is None else level)
-                out.append((*key, cell, math.fsum(rain) / len(rain) if rain else None, len(ordered)))
-                level, next_cell = ordered[-1], cell + 1
-                self.open.removeKey((cell,))
-            self.past.update((level, next_cell))
-            yield pd.DataFrame(out, columns=["site", "deployment", "cell", "rain_rate", "n_samples"])
-
     def close(self) -> None:
         pass
 
@@ -90,11 +78,21 @@ def stream_series(met: DataFrame, constants: DataFrame, level: str = "precipitat
     """
     fixed = constants.select(*KEYS, phase_of(constants).alias("phase"))
     moved = F.col("time") + F.expr(f"INTERVAL {MET_SHIFT_MINUTES} MINUTES") - F.col("phase")
-    placed = met.join(fixed, KEYS).withColumn("shifted", ntz_to_instant(moved))
-    micros = F.unix_micros("shifted")
-    rows = placed.select(
-        *KEYS, "shifted", micros.alias("micros"), F.floor(micros / CELL_MICROS).cast("long").alias("cell"), F.col(level).alias("level"))
-    series = rows.withWatermark("shifted", DELAY).groupBy(*KEYS).transformWithStateInPandas(
-        statefulProcessor=Series(), outputStructType=OUT, outputMode="Append", timeMode="EventTime")
+    placed = met.join(fixed, KEYS).withColumn("shifted", ntz_to_instant(moved)).where(F.col("shifted").isNotNull())
+    rows = placed.select(*KEYS, "shifted", F.col(level).cast("double").alias("level"))
+    unique = rows.withWatermark("shifted", DELAY).dropDuplicatesWithinWatermark([*KEYS, "shifted"])
+    bins = unique.groupBy(*KEYS, F.window("shifted", BIN).alias("bin")).agg(F.collect_list(F.struct("shifted", "level")).alias("samples"))
+    levels = F.transform(F.array_sort("samples"), lambda s: s["level"])
+    steps = F.zip_with(F.slice("levels", 2, F.size("levels")), "levels", valid_increment)
+    cells = bins.select(
+        *KEYS, F.floor(F.unix_micros("bin.start") / CELL_MICROS).cast("long").alias("cell"), levels.alias("levels")
+    ).select(
+        *KEYS, "cell", F.get("levels", F.lit(0)).alias("first_level"), F.element_at("levels", -1).alias("last_level"),
+        F.size("levels").cast("long").alias("n_samples"), F.filter(steps, lambda s: s.isNotNull()).alias("steps")
+    ).select(
+        *KEYS, "cell", "first_level", "last_level", "n_samples", F.size("steps").cast("long").alias("n_steps"),
+        F.aggregate("steps", F.lit(0.0), lambda a, s: a + s).alias("total"))
+    series = cells.groupBy(*KEYS).transformWithStateInPandas(
+        statefulProcessor=Series(), outputStructType=OUT, outputMode="Append", timeMode="None")
     start = instant_to_ntz(F.timestamp_micros(F.col("cell") * CELL_MICROS))
     return series.join(fixed, KEYS).select(*KEYS, (start + F.col("phase")).alias("time"), "rain_rate", "n_samples")
