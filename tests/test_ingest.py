@@ -2,19 +2,20 @@ import json
 import os
 import shutil
 import time
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 
-from tests.util import epoch
+from tests.util import T0, epoch
 from tidewright.model import MET_FIELDS, WAVE_FIELDS, stations
-from tidewright.session import materialize
+from tidewright.session import LISTING, materialize
 from tidewright.sources import array_json, ledger
 from tidewright.sources.file_groups import read_whole
 from tidewright.sources.landed import LandedTable, land, read_landed
 from tidewright.plans.run import land_directory
-from tidewright.streaming.landing import land_new_files, rejected_files, seen_files
+from tidewright.streaming.landing import land_new_files, listing, rejected_files, seen_files
 
 BASE = epoch(datetime(2026, 1, 1))
 
@@ -265,3 +266,38 @@ def test_top_level_lists_are_rejected(spark, tmp_path):
     call()
     assert [(r.air_temperature, r.barometric_pressure) for r in read_landed(spark, landed).orderBy("time").collect()] == [(None, float("inf")), (2.5, 3.0)]
     assert [r.reason for r in rejected_files(spark, landed, rejected).collect()] == ["corrupt"]
+
+
+def test_folders_are_listed_whole(spark, tmp_path):
+    """One task a folder, not one for every few files; zero bytes, hidden files, subfolders and other names do not count."""
+    for i in range(100):
+        for deployment in ("D1", "D 2"):
+            at = tmp_path / "ce02shsm" / deployment / "buoy" / "metbk"
+            at.mkdir(parents=True, exist_ok=True)
+            (at / f"a b{i}.json").write_text("{}" * (i % 3))
+    for name in (".x.json", "_x.json", "x.txt", "sub/x.json"):
+        (at / name).parent.mkdir(exist_ok=True)
+        (at / name).write_text("{}")
+    found = listing(spark, f"{tmp_path}/*/*/buoy/metbk", "*.json")
+    plain = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(f"{tmp_path}/*/*/buoy/metbk")
+    assert sorted(found.collect()) == sorted(plain.select("path", "length").collect()) and found.count() == 132
+    assert found.rdd.getNumPartitions() == 2
+    assert listing(spark, f"{tmp_path}/*/*/buoy/wavss", "*.json").count() == 0
+
+
+def test_landed_folders_are_listed_by_few_tasks(spark, tmp_path, monkeypatch):
+    """Spark starts a task for each folder otherwise, up to 10,000."""
+    at = [T0 + timedelta(days=d) for d in range(40)]
+    rows = spark.createDataFrame([("CE02", "D1", t, 1.0) for t in at], "site string, deployment string, time timestamp_ntz, x double")
+    land(rows, str(tmp_path / "landed"))
+    allowed, plain = [], DataFrameReader.parquet
+
+    def parquet(self, *paths, **options):
+        if any("date=" in p for p in paths):
+            allowed.append(int(spark.conf.get(LISTING)))
+        return plain(self, *paths, **options)
+
+    monkeypatch.setattr(DataFrameReader, "parquet", parquet)
+    assert sorted(r.time for r in read_landed(spark, str(tmp_path / "landed")).collect()) == at
+    assert allowed and max(allowed) <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(LISTING, None) is None

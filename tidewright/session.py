@@ -53,3 +53,17 @@ def discard(df: DataFrame) -> None:
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()[:1]}:
         fs, path = hadoop_path(spark, folder)
         fs.delete(path, True)
+
+
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+def read_folders(spark: SparkSession, folders: list[str], base_path: str | None = None) -> DataFrame:
+    """Parquet folders, their files listed by a few tasks a core: left alone, Spark starts a task for each folder."""
+    reader = spark.read if base_path is None else spark.read.option("basePath", base_path)
+    before = spark.conf.get(LISTING, None)
+    spark.conf.set(LISTING, 4 * spark.sparkContext.defaultParallelism)
+    try:
+        return reader.parquet(*folders)
+    finally:
+        spark.conf.unset(LISTING) if before is None else spark.conf.set(LISTING, before)

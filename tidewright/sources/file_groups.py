@@ -1,4 +1,4 @@
-"""Whole files as rows: a reader with one partition for each group of files of a stored list.
+"""Files of folders, and whole files as rows: readers with one partition for each folder, or group of files of a stored list.
 
 The list is a table of paths, dealt out by size into its part files; a task reads one of these and then the files it names.
 No path but those of the parts passes through the driver.  Any file system known to Arrow can be read.
@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from fnmatch import fnmatchcase
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -21,12 +22,15 @@ from tidewright.session import discard, hadoop_path, materialize
 
 FORMAT = "file_groups"
 SCHEMA = "path string, content binary, fault string"
+FOLDERS = "folder_files"
+FILE_SCHEMA = "path string, length long"
 
 #: Bytes and files that a task reads at most, but for single larger files.
 GROUP_BYTES = 64 << 20
 GROUP_FILES = 5_000
-#: Bytes of a batch on its way to Spark.
+#: Bytes of a batch on its way to Spark, and files of a listed one.
 BATCH_BYTES = 8 << 20
+LISTED_TOGETHER = 10_000
 
 
 @dataclass
@@ -78,6 +82,54 @@ class FileGroupReader(DataSourceReader):
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
+class FolderSource(DataSource):
+    """Files right in the folders of the option ``folders``, one a line, whose names match the option ``glob``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return FOLDERS
+
+    def schema(self) -> str:
+        return FILE_SCHEMA
+
+    def reader(self, schema: StructType) -> DataSourceReader:
+        return FolderReader(self.options)
+
+
+class FolderReader(DataSourceReader):
+    def __init__(self, options: dict[str, str]) -> None:
+        self.folders = options["folders"].split("\n")
+        self.glob = options["glob"]
+
+    def partitions(self) -> list[InputPartition]:
+        return [Group(f) for f in self.folders]
+
+    def read(self, partition: Group) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, at = fs.FileSystem.from_uri(location(partition.part))
+        files = [
+            (f"{partition.part}/{f.base_name}", f.size) for f in store.get_file_info(fs.FileSelector(at, allow_not_found=True))
+            if f.is_file and f.size and f.base_name[0] not in "._" and fnmatchcase(f.base_name, self.glob)]
+        for i in range(0, len(files), LISTED_TOGETHER):
+            paths, lengths = zip(*files[i : i + LISTED_TOGETHER])
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(lengths, pa.int64())], ["path", "length"])
+
+
+def list_files(spark: SparkSession, paths: str, glob: str) -> DataFrame | None:
+    """(path, length) of the files of all folders that the pattern ``paths`` stands for; None if there is no such folder.
+
+    Each folder is listed by one task, without a look at single files; only the names of folders pass through the driver.  Files of
+    zero bytes and hidden ones are passed over, as by Spark's scans.
+    """
+    fs, at = hadoop_path(spark, paths)
+    folders = [s.getPath().toString() for s in fs.globStatus(at) or [] if s.isDirectory()]
+    if not folders:
+        return None
+    register(spark)
+    return spark.read.format(FOLDERS).option("folders", "\n".join(folders)).option("glob", glob).load()
+
+
 def location(path: str) -> str:
     """A path as Spark lists it, for Arrow: local ones without scheme, since their names are not encoded."""
     if path.startswith("file:"):
@@ -86,9 +138,10 @@ def location(path: str) -> str:
 
 
 def register(spark: SparkSession) -> None:
-    """Make the reader known to the session; its code travels with the job."""
+    """Make the readers known to the session; their code travels with the job."""
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(FileGroupSource)
+    spark.dataSource.register(FolderSource)
 
 
 def read_whole(files: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewright.model import KEYS
-from tidewright.session import discard, hadoop_path, materialize
+from tidewright.session import discard, hadoop_path, materialize, read_folders
 from tidewright.sources.ledger import Ledger
 
 PARTITIONS = [*KEYS, "date"]
@@ -68,10 +68,10 @@ class LandedTable:
             return None
         if len(folders) <= MOST_FOLDERS:
             discard(wanted)
-            return self.typed(self.spark.read.option("basePath", self.data).parquet(*folders)).drop("batch")
+            return self.typed(read_folders(self.spark, folders, self.data)).drop("batch")
         # a comparison of the stored side is what Spark asks for before it prunes partitions at run time
         live = wanted.where("date >= DATE'0001-01-01'")
-        return self.typed(self.spark.read.parquet(self.data)).join(live, ZONE, "left_semi").drop("batch")
+        return self.typed(read_folders(self.spark, [self.data])).join(live, ZONE, "left_semi").drop("batch")
 
     def typed(self, df: DataFrame) -> DataFrame:
         """Partition values with the types of the manifest, whatever they look like."""
@@ -91,7 +91,7 @@ class LandedTable:
         folders = [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
         entries = self.spark.createDataFrame([], ZONE_SCHEMA)
         if any(f.startswith("site=") for f in folders):
-            written = self.typed(self.spark.read.parquet(f"{self.data}/batch={batch}").withColumn("batch", F.lit(batch)))
+            written = self.typed(read_folders(self.spark, [f"{self.data}/batch={batch}"]).withColumn("batch", F.lit(batch)))
             entries = written.groupBy(*ZONE).agg(
                 F.min("time").alias("min_time"), F.max("time").alias("max_time"), F.count("*").alias("rows"), F.lit(True).alias("live"))
         if dropped is not None:

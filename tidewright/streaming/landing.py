@@ -7,7 +7,6 @@ broke off is not seen and repeated by the next, under the same number.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +14,7 @@ from pyspark.sql import types as T
 from tidewright.model import KEYS
 from tidewright.session import discard, materialize
 from tidewright.sources.array_json import INSTRUMENTS, ORIGIN, deduplicate, parse_files, rejects, samples
-from tidewright.sources.file_groups import read_whole
+from tidewright.sources.file_groups import list_files, read_whole
 from tidewright.sources.landed import LandedTable, unseen
 from tidewright.sources.ledger import Ledger
 
@@ -26,15 +25,10 @@ REJECTED = T.StructType([T.StructField("file_path", T.StringType()), T.StructFie
 def listing(spark: SparkSession, paths: str, glob: str) -> DataFrame:
     """(path, length) of every file there is; contents are not read.
 
-    Spark's scans pass over files of zero bytes: they count as not there until they hold something.
+    Files of zero bytes count as not there until they hold something.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob)
-    try:
-        return files.load(paths).select("path", "length")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], SEEN)
+    files = list_files(spark, paths, glob)
+    return spark.createDataFrame([], SEEN) if files is None else files
 
 
 def seen_files(spark: SparkSession, path: str, upto: int) -> DataFrame:
@@ -68,7 +62,7 @@ def land_new_files(
         rows = deduplicate(samples(files, fields, stations)).select(*KEYS, "time", *ORIGIN, *fields[1:])
         landing = materialize(rows.withColumn("date", F.to_date("time")), "landing")
         table.write(unseen(table, landing), batch)
-        rejected.write(rejects(files, fields, stations).coalesce(1), batch)
+        rejected.write(rejects(files, fields, stations).repartition(1), batch)
         seen.write(new.coalesce(1), batch)
         table.commit(batch)
         for ledger in (seen, rejected):
