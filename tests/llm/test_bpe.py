@@ -147,3 +147,21 @@ def test_other_files_are_refused(tmp_path):
     (tmp_path / "other.json").write_text(json.dumps(said))
     with pytest.raises(ValueError, match="word-end"):
         bpe.Vocabulary(str(tmp_path / "other.json"))
+
+
+def test_pieces_of_many_parts_equal_those_of_each():
+    known, special = bpe.vocabulary(None), "<|endoftext|>"
+    parts = sorted({p for t in TEXTS for p in bpe.words_of(t)} | {"The", "Été", "a1", "don't", special, f"a{special}B"})
+    for told in (True, False):
+        assert known.pieces_of(parts, told) == {p: known.pieces(p, told) for p in parts}
+
+
+def test_ids_of_a_batch_are_decoded_together(spark):
+    """Ids of no token, also at the ends of a text, and texts without ids keep the texts apart."""
+    tokens = bpe.vocabulary(None).tokens
+    a, b, none = tokens.index("the</w>"), tokens.index("of</w>"), len(tokens) + 5
+    ids = [[a, b], [], [none], [none, a, none, 2**32 - 1], None, [b]]
+    rows = [(k, None if i is None else bytearray(np.array(i, "<u4").tobytes())) for k, i in enumerate(ids)]
+    got = bpe.decode(spark.createDataFrame(rows, "doc_id long, ids binary").coalesce(1)).collect()
+    assert [r.text for r in sorted(got)] == ["the</w> of</w>", "", "", "the</w>", "", "of</w>"]
+    assert bytes(next(r.ids for r in got if r.doc_id == 0)) == bytes(rows[0][1])

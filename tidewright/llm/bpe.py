@@ -45,7 +45,7 @@ KEPT_PARTS = 200_000
 TOGETHER = 100_000
 #: Characters of a text that are split at a time, and of texts that are encoded together.
 SLICE = 1_000_000
-TEXTS_TOGETHER = 4_000_000
+TEXTS_TOGETHER = 2_000_000
 #: Words of more letters are merged with a heap.
 HEAP_FROM = 40
 #: Words that are merged together.
@@ -63,7 +63,7 @@ WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u
 #: is that of each letter by itself.
 PLAIN_BELOW = "\u0250"
 #: White space to Python's ``split`` only.
-SEPARATORS = re.compile("[\x1c-\x1f]")
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
 def letters() -> dict[str, int]:
@@ -82,7 +82,7 @@ def plain_split() -> re.Pattern:
 
 def words_of(text: str) -> list[str]:
     """Parts of a text between white space."""
-    return [w for w in WHITE.split(text) if w] if SEPARATORS.search(text) else text.split()
+    return [w for w in WHITE.split(text) if w] if any(c in text for c in SEPARATORS) else text.split()
 
 
 def slices(text: str) -> Iterator[str]:
@@ -147,7 +147,7 @@ class Vocabulary:
 
     def pieces(self, part: str, special: bool = True) -> list[bytes | int]:
         """Words, as bytes, of a part of a text without white space; ids of special tokens in it, unless ``special`` says there are none."""
-        plain = max(part) < PLAIN_BELOW
+        plain = part.isascii() or max(part) < PLAIN_BELOW
         low = part.lower() if plain else part
         if plain and self.letters_only and low.isalpha():
             return [low.encode()]
@@ -158,6 +158,12 @@ class Vocabulary:
             return [p.encode() for p in self.find(low)]
         return [bytes(map(self.byte_of.__getitem__, p)) for p, _ in self.split(self.normalize(part))]
 
+    def pieces_of(self, parts: Iterable[str], special: bool = True) -> dict[str, list[bytes | int]]:
+        """``pieces`` of each of many parts, those of Latin letters without a call for each."""
+        if not self.letters_only:
+            return {p: self.pieces(p, special) for p in parts}
+        return {p: [p.lower().encode()] if p.isascii() and p.isalpha() else self.pieces(p, special) for p in parts}
+
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word: the pair of least rank, the leftmost of equals, is merged until none is left."""
         inner, merges = self.inner, self.merges
@@ -228,8 +234,10 @@ class Vocabulary:
                 every = np.arange(len(rows))
                 least = found[every, place]
                 done = np.flatnonzero(least == NONE)
-                for k in done.tolist():
-                    out[rows[k]] = ids[k, : n[k]].astype("<u4").tobytes()
+                flat = ids[done][np.arange(ids.shape[1]) < n[done][:, None]].astype("<u4").tobytes()
+                stops = 4 * np.cumsum(n[done])
+                for k, a, b in zip(rows[done].tolist(), (stops - 4 * n[done]).tolist(), stops.tolist()):
+                    out[k] = flat[a:b]
                 go = np.flatnonzero(least < NONE)
                 if not len(go):
                     break
@@ -419,8 +427,9 @@ def word_counts(docs: DataFrame, text_col: str, tokenizer_path: str | None) -> D
         def told() -> pa.RecordBatch:
             words: Counter[bytes] = Counter()
             with no_collector():
-                for part, n in counts.items():
-                    for piece in known.pieces(part):
+                for part, pieces in known.pieces_of(counts).items():
+                    n = counts[part]
+                    for piece in pieces:
                         if isinstance(piece, bytes) and len(piece) <= LEXICON_LETTERS:
                             words[piece] += n
             counts.clear()
@@ -477,7 +486,7 @@ def build_lexicon(docs: DataFrame, text_col: str = "text", *, tokenizer_path: st
 
 def encoded_words(parts: set[str], known: Vocabulary, held: Lexicon, special: bool = True) -> dict[str, bytes]:
     """Ids of each part of a text: by the automaton, else by merging."""
-    pieces = {p: known.pieces(p, special) for p in parts}
+    pieces = known.pieces_of(parts, special)
     words = list({w for ps in pieces.values() for w in ps if isinstance(w, bytes)})
     ids: dict[bytes | int, bytes] = {s: array("I", [s]).tobytes() for s in known.special.values()}
     for at in range(0, len(words), TOGETHER):
@@ -486,7 +495,7 @@ def encoded_words(parts: set[str], known: Vocabulary, held: Lexicon, special: bo
         ids |= {w: f for w, f in zip(some, found, strict=True) if f is not None}
         unseen = [w for w, f in zip(some, found, strict=True) if f is None]
         ids |= zip(unseen, known.merge_all(unseen), strict=True)
-    return {p: b"".join(map(ids.__getitem__, ps)) for p, ps in pieces.items()}
+    return {p: ids[ps[0]] if len(ps) == 1 else b"".join(map(ids.__getitem__, ps)) for p, ps in pieces.items()}
 
 
 def together(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
@@ -517,12 +526,16 @@ def encode(
             for batch in together(whole, TEXTS_TOGETHER):
                 texts = [t.decode("utf-8", "replace") for t in batch.column(1).to_pylist()]
                 special = any(map(known.has_special, texts))
-                parts = {p for text in texts for part in slices(text) for p in words_of(part)}
+                # split once: the same strings, whose hashes Python keeps, are looked up again below
+                split = [[words_of(part) for part in slices(text)] for text in texts]
+                del texts
+                parts = set().union(*(words for text in split for words in text))
                 if len(table) > KEPT_PARTS:
                     table.clear()
                 with no_collector():
                     table |= encoded_words(parts.difference(table), known, held, special)
-                ids = [b"".join(b"".join(map(table.__getitem__, words_of(part))) for part in slices(text)) for text in texts]
+                ids = [b"".join(b"".join(map(table.__getitem__, words)) for words in text) for text in split]
+                del split, parts
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], schema=out)
 
     return docs.select(F.col(f"`{id_col}`"), text_bytes(f"`{text_col}`").alias("text_bytes")).mapInArrow(work, schema)
@@ -538,12 +551,16 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", *,
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = vocabulary(tokenizer_path).tokens
+        spelled, known = pa.array(tokens, pa.string()), np.array([*map(bool, tokens), False])
         for whole in batches:
             for batch in together(whole, TEXTS_TOGETHER):
-                texts = []
-                for data in batch.column(1):
-                    ids = np.frombuffer(data.as_py() or b"", "<u4")
-                    texts.append(" ".join(filter(None, map(tokens.__getitem__, ids[ids < len(tokens)].tolist()))))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], schema=out)
+                data = [(d.as_py() or b"") for d in batch.column(1)]
+                ids = np.frombuffer(b"".join(data), "<u4")
+                told = known[np.minimum(ids, len(tokens))]
+                ends = np.cumsum([0, *(len(d) // 4 for d in data)])
+                # where each text begins among the ids that have a token
+                starts = np.concatenate([[0], np.cumsum(told)])[ends]
+                lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), spelled.take(pa.array(ids[told])))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pc.binary_join(lists, " ")], schema=out)
 
     return encoded.select(F.col(f"`{id_col}`"), F.col(f"`{ids_col}`")).mapInArrow(work, schema)
