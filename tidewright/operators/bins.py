@@ -20,6 +20,7 @@ from tidewright.functions.vectors import add_direction_from, rotate_by, wave_uni
 from tidewright.model import BINNED_FIELDS, KEYS, MET_SHIFT_MINUTES, WAVE_SHIFT_MINUTES
 from tidewright.operators.bounds import bin_spine
 from tidewright.operators.rain import rain_by_cell
+from tidewright.session import materialize
 
 GROUP = [*KEYS, "phase", "cell"]
 
@@ -111,6 +112,7 @@ def bin_observations(met: DataFrame, wave: DataFrame, bounds: DataFrame, rain: b
     (the instruments' shifts are applied here).  ``bounds`` comes from
     ``with_run_constants``.  Every bin of the window is present, empty ones NULL.
     """
+    bounds = materialize(bounds, "bounds")  # each branch reads them, and would work them out anew
     met_placed = place(met, bounds, MET_SHIFT_MINUTES)
     wave_placed = place(wave, bounds, WAVE_SHIFT_MINUTES)
     spine = bin_spine(bounds).withColumn("cell", F.col("time") - F.col("phase")).select(*GROUP)
